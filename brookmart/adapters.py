@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmart.schemas import DATETIME, MONEY
+from brookmart.schemas import MONEY
 
 ZERO = "0.00"
 FREIGHT = "5.00"
@@ -27,6 +27,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
 
+def _time_text(c: Column | str) -> Column:
+    """'yyyy-MM-dd HH:mm:ss'."""
+    return F.date_trunc("second", c).cast("string")
+
+
 def _item_type() -> Column:
     return (F.when(F.col("event_type").isin("click", "view"), "sku_id")
              .when(F.col("event_type") == "error", "keyword"))
@@ -115,7 +120,7 @@ def _money(c: Column | str) -> Column:
 
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.date_format("o_orderdate", DATETIME)
+    at = _time_text("o_orderdate")
     nothing = F.lit(None).cast("string")
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 25).alias("province_id"),
@@ -135,7 +140,7 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money(F.lit(ZERO)).alias("sku_price"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.lit(None).cast("string").alias("sku_name"),
-        F.date_format("l_shipdate", DATETIME).alias("create_time"),
+        _time_text("l_shipdate").alias("create_time"),
         _money("l_extendedprice").alias("split_total_amount"),
         _money(F.lit(ZERO)).alias("split_activity_amount"),
         _money(F.lit(ZERO)).alias("split_coupon_amount"))
@@ -145,7 +150,7 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "P"))
     # A payment is made up to an hour after the order, by order number.
     late = F.make_dt_interval(mins=(F.col("o_orderkey") % 60).cast("int"))
-    at = F.date_format(F.col("o_orderdate") + late, DATETIME)
+    at = _time_text(F.col("o_orderdate") + late)
     return paid.select(
         (F.col("o_orderkey") + 1_000_000).alias("id"), F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"), _money("o_totalprice").alias("total_amount"),
@@ -155,7 +160,7 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def favor_info(spark: SparkSession, sf_dir: str, event_type: str = "signup") -> DataFrame:
     return events(spark, sf_dir).where(F.col("event_type") == event_type).select(
-        F.col("k").alias("sku_id"), F.date_format("at", DATETIME).alias("create_time"))
+        F.col("k").alias("sku_id"), _time_text("at").alias("create_time"))
 
 
 def cart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,14 +171,14 @@ def refund_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(
         F.col("l_partkey").alias("sku_id"), F.col("l_orderkey").alias("order_id"),
         _money("l_extendedprice").alias("total_amount"),
-        F.date_format("l_shipdate", DATETIME).alias("create_time"))
+        _time_text("l_shipdate").alias("create_time"))
 
 
 def comment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("sku_id"),
         _text("120", (F.col("l_linenumber") - 1) % 5 + 1).alias("appraise"),
-        F.date_format("l_shipdate", DATETIME).alias("create_time"))
+        _time_text("l_shipdate").alias("create_time"))
 
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

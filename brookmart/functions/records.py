@@ -15,7 +15,16 @@ def parse_dynamic(c: Column | str) -> Column:
 def parse_typed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """One column per field of `schema`, in place of the JSON text column."""
     rest = [c for c in df.columns if c != value]
-    return df.select(*rest, F.from_json(value, schema).alias("_r")).select(*rest, "_r.*")
+    return df.select(*rest, parse_once(F.col(value), schema))
+
+
+def parse_once(text: Column, schema: T.StructType) -> Column:
+    """The fields of a JSON text as columns, for a select list.
+
+    Written as a generator because the planner copies a plain `from_json` into every
+    filter on one of its fields, and each copy parses the text again.
+    """
+    return F.inline(F.array(F.from_json(text, schema)))
 
 
 def to_payload(df: DataFrame, keep: tuple[str, ...] = (), value: str = "value") -> DataFrame:

@@ -19,8 +19,13 @@ def duration_ms(text: str) -> int:
     return int(number) * _UNIT_MS[unit]
 
 
-def text_to_millis(c: Column | str, fmt: str = DATETIME) -> Column:
-    return F.unix_millis(F.to_timestamp(c, fmt))
+def text_to_time(c: Column | str) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' text -> timestamp; a cast is far cheaper than a pattern."""
+    return (F.col(c) if isinstance(c, str) else c).cast("timestamp")
+
+
+def text_to_millis(c: Column | str, fmt: str | None = None) -> Column:
+    return F.unix_millis(F.to_timestamp(c, fmt) if fmt else text_to_time(c))
 
 
 def millis_to_text(c: Column | str, fmt: str = DATETIME) -> Column:
@@ -34,12 +39,12 @@ def event_time(c: Column | str) -> Column:
 
 def utc_to_zone(c: Column | str, zone: str = "Asia/Shanghai") -> Column:
     """Text of a UTC time -> text of the same instant in `zone`."""
-    return F.date_format(F.from_utc_timestamp(F.to_timestamp(c, DATETIME), zone), DATETIME)
+    return F.date_format(F.from_utc_timestamp(text_to_time(c), zone), DATETIME)
 
 
 def yyyymmdd(c: Column | str) -> Column:
     """Text of a time -> day as the integer yyyyMMdd."""
-    return F.date_format(F.to_timestamp(c, DATETIME), "yyyyMMdd").cast("int")
+    return F.date_format(text_to_time(c), "yyyyMMdd").cast("int")
 
 
 def age_in_years(birthday: Column | str, as_of: Column) -> Column:

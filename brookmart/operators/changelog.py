@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brookmart.functions.records import parse_once
 from brookmart.operators.firsts import latest_version
 from brookmart.schemas import CHANGELOG, SINK_DIM, SINK_TOPIC
 
@@ -18,7 +19,7 @@ def changelog_etl(df: DataFrame, database: str = "shop", value: str = "value") -
     the whole message before parsing.  `data` stays JSON text.
     """
     message = F.regexp_replace(F.col(value), "bootstrap-", "")
-    return (df.select(F.from_json(message, CHANGELOG).alias("r")).select("r.*")
+    return (df.select(parse_once(message, CHANGELOG))
               .where((F.col("database") == database)
                      & F.col("table").isNotNull()
                      & F.col("type").isin("insert", "update")

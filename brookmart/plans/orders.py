@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.functions.times import age_in_years, text_to_millis
+from brookmart.functions.times import age_in_years, text_to_millis, text_to_time
 from brookmart.operators.enrich import DimSpec, enrich, enrich_product
 from brookmart.operators.intervals import interval_join
 from brookmart.operators.windows import with_event_time
-from brookmart.schemas import DATETIME, ORDER_WIDE, PAYMENT_WIDE
+from brookmart.schemas import ORDER_WIDE, PAYMENT_WIDE
 
 # The line of an order is written at most this far before or after the order.
 ORDER_SLACK = "10 seconds"
@@ -27,7 +27,7 @@ def order_info_derive(info: DataFrame) -> DataFrame:
 
 
 def _prefixed(df: DataFrame, prefix: str, at: str, delay: str) -> DataFrame:
-    timed = with_event_time(df, F.to_timestamp(at, DATETIME), delay)
+    timed = with_event_time(df, text_to_time(at), delay)
     return timed.select([F.col(c).alias(prefix + c) for c in timed.columns])
 
 

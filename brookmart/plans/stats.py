@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmart.functions.keywords import any_positive, explode_words, positive_counters
-from brookmart.functions.times import event_time, now_millis, utc_to_zone
+from brookmart.functions.times import event_time, now_millis, text_to_time, utc_to_zone
 from brookmart.operators.metrics import (PRODUCT_AMOUNTS, PRODUCT_COUNTS, PRODUCT_IDS,
                                          VISITOR_KEYS, VISITOR_SUMS)
 from brookmart.operators.windows import count_once, tumble, window_bounds, with_event_time
-from brookmart.schemas import DATETIME, MONEY
+from brookmart.schemas import MONEY
 
 WINDOW = "5 seconds"
 VISITOR_DELAY = "20 seconds"
@@ -60,7 +60,7 @@ _PROVINCE = {"province_id": "province_id", "province_name": "province_name",
 def province_stats(wide: DataFrame, window: str = WINDOW, stat_ts: Column | None = None,
                    delay: str = SQL_DELAY) -> DataFrame:
     """Amount and number of orders by window and region."""
-    timed = with_event_time(wide, F.to_timestamp("create_time", DATETIME), delay)
+    timed = with_event_time(wide, text_to_time("create_time"), delay)
     named = timed.select("et", "order_id", F.col("split_total_amount").alias("order_amount"),
                          *[F.col(c).alias(out) for out, c in _PROVINCE.items()])
     sums = count_once(named, tumble("et", window), [*_PROVINCE],
@@ -91,7 +91,7 @@ PROVINCE_SQL = """
 def province_stats_sql(wide: DataFrame, window: str = WINDOW, stat_ts: int | None = None,
                        delay: str = SQL_DELAY) -> DataFrame:
     """`province_stats` as a SQL statement."""
-    timed = with_event_time(wide, F.to_timestamp("create_time", DATETIME), delay)
+    timed = with_event_time(wide, text_to_time("create_time"), delay)
     stamp = ("unix_millis(current_timestamp())" if stat_ts is None
              else f"cast({int(stat_ts)} as bigint)")
     return wide.sparkSession.sql(PROVINCE_SQL.format(size=window, stat_ts=stamp), wide=timed)
