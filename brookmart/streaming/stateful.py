@@ -29,6 +29,11 @@ _OUT = T.StructType([T.StructField("value", T.StringType()),
                      T.StructField("next_ts", T.LongType())])
 
 
+def _out_row(fields: tuple) -> Row:
+    value, mark, next_ts = fields
+    return Row(value=value, mark=mark, next_ts=next_ts)
+
+
 class InOrder(StatefulProcessor):
     """Hands records to `settle` in time order once the watermark has passed them.
 
@@ -69,7 +74,7 @@ class InOrder(StatefulProcessor):
             self.waiting.appendList(held)
             for at in {self.release_at(h[0]) for h in held}:
                 self.handle.registerTimer(at)
-        yield from (Row(*o) for o in out)
+        yield from map(_out_row, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
@@ -83,8 +88,8 @@ class InOrder(StatefulProcessor):
             else:
                 self.waiting.clear()
         for row in due:
-            yield from (Row(*o) for o in self.settle(row))
-        yield from (Row(*o) for o in self.at_watermark(now))
+            yield from map(_out_row, self.settle(row))
+        yield from map(_out_row, self.at_watermark(now))
 
 
 class NewVisitor(InOrder):
