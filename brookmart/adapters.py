@@ -5,6 +5,8 @@ Only what the tables lack is derived; see FIXTURES.md, section 5.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +16,24 @@ ZERO = "0.00"
 FREIGHT = "5.00"
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def facts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A fact table.  One read by fewer tasks than there are cores, as a single small file
+    is, is spread over them; a large one is left as it is."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+@cache
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with zoned time, epoch milliseconds, and the number inside `props`."""
-    df = table(spark, sf_dir, "events")
+    df = facts(spark, sf_dir, "events", "event_id")
     at = F.col("ts").cast("timestamp")
     return df.select("event_id", at.alias("at"), F.unix_millis(at).alias("ts"), "user_id",
                      "event_type", "value",
@@ -122,7 +135,7 @@ def _money(c: Column | str) -> Column:
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _time_text("o_orderdate")
     nothing = F.lit(None).cast("string")
-    return table(spark, sf_dir, "orders").select(
+    return facts(spark, sf_dir, "orders", "o_orderkey").select(
         F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 25).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"), F.col("o_custkey").alias("user_id"),
         _money("o_totalprice").alias("total_amount"),
@@ -134,7 +147,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return facts(spark, sf_dir, "lineitem", "l_orderkey").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
         _money(F.lit(ZERO)).alias("sku_price"),
@@ -147,7 +160,7 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "P"))
+    paid = facts(spark, sf_dir, "orders", "o_orderkey").where(F.col("o_orderstatus").isin("F", "P"))
     # A payment is made up to an hour after the order, by order number.
     late = F.make_dt_interval(mins=(F.col("o_orderkey") % 60).cast("int"))
     at = _time_text(F.col("o_orderdate") + late)
@@ -168,19 +181,20 @@ def cart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refund_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(
+    return facts(spark, sf_dir, "lineitem", "l_orderkey").where(F.col("l_returnflag") == "R").select(
         F.col("l_partkey").alias("sku_id"), F.col("l_orderkey").alias("order_id"),
         _money("l_extendedprice").alias("total_amount"),
         _time_text("l_shipdate").alias("create_time"))
 
 
 def comment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return facts(spark, sf_dir, "lineitem", "l_orderkey").select(
         F.col("l_partkey").alias("sku_id"),
         _text("120", (F.col("l_linenumber") - 1) % 5 + 1).alias("appraise"),
         _time_text("l_shipdate").alias("create_time"))
 
 
+@cache
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six dimensions, every column text."""
     part = table(spark, sf_dir, "part")
@@ -209,7 +223,7 @@ def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "base_category3": part.select(category_id.alias("id"), F.col("p_type").alias("name"))
             .distinct(),
     }
-    return {name: df.select([F.col(c).cast("string").alias(c) for c in df.columns])
+    return {name: df.selectExpr([f"cast({c} as string) as {c}" for c in df.columns])
             for name, df in parts.items()}
 
 

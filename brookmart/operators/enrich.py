@@ -14,7 +14,8 @@ class DimSpec:
 
     dim: DataFrame
     fact_key: str
-    columns: dict[str, Column | str] = field(default_factory=dict)  # output name -> source
+    # Output name -> source column or expression.
+    columns: dict[str, Column | str] = field(default_factory=dict)
 
 
 def _lookup_side(spec: DimSpec) -> DataFrame:

@@ -34,4 +34,5 @@ def interval_join(left: DataFrame, right: DataFrame, keys: tuple[str, str],
     within = F.expr(f"{rt} >= {lt} - interval {before} milliseconds"
                     f" and {rt} <= {lt} + interval {after} milliseconds")
     on = (F.col(lk) == F.col(rk)) & (F.col("_lb") == F.col("_rb")) & within
-    return spread.join(placed, on).drop("_lb", "_rb")
+    # Both sides are facts: the small size of their files is no reason to broadcast one.
+    return spread.hint("merge").join(placed, on).drop("_lb", "_rb")

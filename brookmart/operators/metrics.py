@@ -10,7 +10,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.functions.times import text_to_millis
 from brookmart.operators.sequence import is_entry
 from brookmart.schemas import GOOD_APPRAISALS, MONEY
 
@@ -50,57 +49,54 @@ def visitor_metrics(pages: DataFrame, uv: DataFrame, uj: DataFrame) -> DataFrame
     ])
 
 
-def _product_row(df: DataFrame, ts: Column, sku: Column | str = "sku_id",
-                 **values: Column) -> DataFrame:
-    sku = F.col(sku) if isinstance(sku, str) else sku
-    zero = F.lit(0)
-    return df.select(
-        sku.cast("bigint").alias("sku_id"),
-        *[values.get(c, zero).cast("bigint").alias(c) for c in PRODUCT_COUNTS],
-        *[values.get(c, zero).cast(MONEY).alias(c) for c in PRODUCT_AMOUNTS],
-        *[values.get(c, F.lit(None)).cast("bigint").alias(c) for c in PRODUCT_IDS.values()],
-        ts.alias("ts"))
+def _millis(text_time: str) -> str:
+    return f"unix_millis(cast({text_time} as timestamp))"
+
+
+def _product_row(df: DataFrame, ts: str, sku: str = "sku_id", **values: str) -> DataFrame:
+    """Metric rows from SQL expressions; what is not given is zero, or null for ids."""
+    return df.selectExpr(
+        f"cast({sku} as bigint) as sku_id",
+        *[f"cast({values.get(c, '0')} as bigint) as {c}" for c in PRODUCT_COUNTS],
+        *[f"cast({values.get(c, '0')} as {MONEY.simpleString()}) as {c}"
+          for c in PRODUCT_AMOUNTS],
+        *[f"cast({values.get(c, 'null')} as bigint) as {c}" for c in PRODUCT_IDS.values()],
+        f"{ts} as ts")
 
 
 def clicks(pages: DataFrame) -> DataFrame:
     """Flat page rows about a product."""
-    hits = pages.where(F.col("item_type") == "sku_id")
-    return _product_row(hits, F.col("ts"), "item", click_ct=F.lit(1))
+    return _product_row(pages.where("item_type = 'sku_id'"), "ts", "item", click_ct="1")
 
 
 def displays(shown: DataFrame) -> DataFrame:
     """Flat display rows about a product."""
-    hits = shown.where(F.col("item_type") == "sku_id")
-    return _product_row(hits, F.col("ts"), "item", display_ct=F.lit(1))
+    return _product_row(shown.where("item_type = 'sku_id'"), "ts", "item", display_ct="1")
 
 
 def favors(df: DataFrame) -> DataFrame:
-    return _product_row(df, text_to_millis("create_time"), favor_ct=F.lit(1))
+    return _product_row(df, _millis("create_time"), favor_ct="1")
 
 
 def carts(df: DataFrame) -> DataFrame:
-    return _product_row(df, text_to_millis("create_time"), cart_ct=F.lit(1))
+    return _product_row(df, _millis("create_time"), cart_ct="1")
 
 
 def orders_m(wide: DataFrame) -> DataFrame:
-    return _product_row(wide, text_to_millis("create_time"),
-                        order_amount=F.col("split_total_amount"),
-                        order_sku_num=F.col("sku_num"), order_id=F.col("order_id"))
+    return _product_row(wide, _millis("create_time"), order_amount="split_total_amount",
+                        order_sku_num="sku_num", order_id="order_id")
 
 
 def payments_m(paid: DataFrame) -> DataFrame:
-    return _product_row(paid, text_to_millis("payment_create_time"),
-                        payment_amount=F.col("split_total_amount"),
-                        paid_order_id=F.col("order_id"))
+    return _product_row(paid, _millis("payment_create_time"),
+                        payment_amount="split_total_amount", paid_order_id="order_id")
 
 
 def refunds_m(df: DataFrame) -> DataFrame:
-    return _product_row(df, text_to_millis("create_time"),
-                        refund_amount=F.col("total_amount"),
-                        refund_order_id=F.col("order_id"))
+    return _product_row(df, _millis("create_time"), refund_amount="total_amount",
+                        refund_order_id="order_id")
 
 
 def comments(df: DataFrame) -> DataFrame:
-    good = F.when(F.col("appraise").isin(*GOOD_APPRAISALS), 1).otherwise(0)
-    return _product_row(df, text_to_millis("create_time"),
-                        comment_ct=F.lit(1), good_comment_ct=good)
+    good = f"case when appraise in {GOOD_APPRAISALS} then 1 else 0 end"
+    return _product_row(df, _millis("create_time"), comment_ct="1", good_comment_ct=good)

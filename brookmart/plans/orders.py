@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brookmart.functions.times import age_in_years, text_to_millis, text_to_time
 from brookmart.operators.enrich import DimSpec, enrich, enrich_product
@@ -28,13 +29,14 @@ def order_info_derive(info: DataFrame) -> DataFrame:
 
 def _prefixed(df: DataFrame, prefix: str, at: str, delay: str) -> DataFrame:
     timed = with_event_time(df, text_to_time(at), delay)
-    return timed.select([F.col(c).alias(prefix + c) for c in timed.columns])
+    return timed.toDF(*[prefix + c for c in timed.columns])
 
 
-def _conform(df: DataFrame, schema, sources: dict[str, Column]) -> DataFrame:
-    """Columns of `schema`; null where nothing fills them."""
-    return df.select([sources.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-                      for f in schema])
+def _conform(df: DataFrame, schema: StructType, sources: dict[str, str]) -> DataFrame:
+    """Columns of `schema` from expressions; null where nothing fills them."""
+    return df.selectExpr([
+        f"cast({sources.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}"
+        for f in schema])
 
 
 def order_wide_facts(info: DataFrame, detail: DataFrame, lower: str = ORDER_SLACK,
@@ -52,9 +54,9 @@ def order_wide_facts(info: DataFrame, detail: DataFrame, lower: str = ORDER_SLAC
                 "feight_fee", "total_amount", "province_id", "user_id")
     of_line = ("sku_id", "sku_name", "sku_num", "split_activity_amount",
                "split_coupon_amount", "split_total_amount")
-    sources = {"order_id": F.col("i_id"), "detail_id": F.col("d_id")}
-    sources |= {c: F.col(f"i_{c}") for c in of_order}
-    sources |= {c: F.col(f"d_{c}") for c in of_line}
+    sources = {"order_id": "i_id", "detail_id": "d_id"}
+    sources |= {c: f"i_{c}" for c in of_order}
+    sources |= {c: f"d_{c}" for c in of_line}
     return _conform(both, ORDER_WIDE, sources)
 
 
@@ -84,10 +86,9 @@ def payment_wide(payments: DataFrame, wide: DataFrame, before: str = PAY_WINDOW,
     right = _prefixed(wide, "w_", "create_time", delay)
     both = interval_join(left, right, ("p_order_id", "w_order_id"), ("p_et", "w_et"),
                          before, after)
-    sources = {c: F.col(f"w_{c}") for c in ORDER_WIDE.names}
-    sources |= {c: F.col(f"p_{c}") for c in ("order_id", "user_id", "total_amount",
-                                             "subject", "payment_type", "callback_time")}
-    sources |= {"payment_id": F.col("p_id"),
-                "payment_create_time": F.col("p_create_time"),
-                "order_create_time": F.col("w_create_time")}
+    sources = {c: f"w_{c}" for c in ORDER_WIDE.names}
+    sources |= {c: f"p_{c}" for c in ("order_id", "user_id", "total_amount", "subject",
+                                      "payment_type", "callback_time")}
+    sources |= {"payment_id": "p_id", "payment_create_time": "p_create_time",
+                "order_create_time": "w_create_time"}
     return _conform(both, PAYMENT_WIDE, sources)

@@ -427,7 +427,7 @@ def keyword_tokens(spark, sf):
 
 @query
 def document_words(spark, sf):
-    docs = A.table(spark, sf, "documents").select("doc_id", "text")
+    docs = A.facts(spark, sf, "documents", "doc_id").select("doc_id", "text")
     return (explode_words(docs, "text").groupBy("word")
             .agg(F.count("*").alias("documents")))
 
