@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookmart.session import materialize
+
 
 @dataclass(frozen=True)
 class DimSpec:
@@ -69,6 +71,10 @@ PRODUCT_COLUMNS = ("sku_name", "sku_price", "spu_id", "spu_name", "tm_id", "tm_n
 
 
 def enrich_product(df: DataFrame, dims: dict[str, DataFrame], how: str = "inner") -> DataFrame:
-    """Fill in the product columns from `sku_id`."""
-    spec = DimSpec(product_lookup(dims), "sku_id", {c: c for c in PRODUCT_COLUMNS})
-    return enrich(df, [spec], how)
+    """Fill in the product columns from `sku_id`.
+
+    The resolved products are written to the shared folder first: the planner knows the
+    size of a stored table, but guesses that of a join far too high to broadcast it.
+    """
+    products = materialize(product_lookup(dims), "products")
+    return enrich(df, [DimSpec(products, "sku_id", {c: c for c in PRODUCT_COLUMNS})], how)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookmart.functions.records import parse_typed
@@ -30,22 +30,23 @@ def split_log(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def _merged_display(display: Column, keep_display: bool) -> list[Column]:
-    """Columns of a flat display; later sources win: display, common, page, ts."""
-    own = {"item", "item_type", "display_type", "order", "pos_id"}
+# Fields a display brings itself.
+SHOWN = tuple(LOG["displays"].dataType.elementType.names)
+
+
+def _merged_display(display: str, keep_display: bool, common: str = "common.",
+                    page: str = "page.") -> list[str]:
+    """Expressions of a flat display; later sources win: display, common, page, ts.
+
+    Arguments are what comes before a field's name in each source.
+    """
     columns = []
     for name in DISPLAY.names:
-        if name == "ts":
-            columns.append(F.col("ts"))
-            continue
-        sources = []
-        if name in PAGE:
-            sources.append(F.col(f"page.{name}"))
-        if name in COMMON:
-            sources.append(F.col(f"common.{name}"))
-        if name in own:
-            sources.insert(0 if keep_display else len(sources), display[name])
-        columns.append(F.coalesce(*sources).alias(name))
+        sources = [before + name for before, fields in ((page, PAGE), (common, COMMON))
+                   if name in fields]
+        if name in SHOWN:
+            sources.insert(0 if keep_display else len(sources), display + name)
+        columns.append(f"coalesce({', '.join(sources or [name])}) as {name}")
     return columns
 
 
@@ -57,8 +58,12 @@ def explode_displays(logs: DataFrame, keep_display: bool = False,
     the page is merged last.  `keep_display=True` keeps the display's.  A record without
     a page contributes none of the page's columns.
     """
-    one = logs.withColumn("_d", F.explode("displays"))
-    return one.select(*keep, *_merged_display(F.col("_d"), keep_display))
+    # Flat columns before the explosion keep it narrow.
+    flat = logs.selectExpr(
+        *keep, "ts", *[f"common.{c} as _c_{c}" for c in COMMON],
+        *[f"page.{c} as _p_{c}" for c in PAGE],
+        f"inline(displays) as ({', '.join('_d_' + c for c in SHOWN)})")
+    return flat.selectExpr(*keep, *_merged_display("_d_", keep_display, "_c_", "_p_"))
 
 
 def page_views(pages: DataFrame, keep: tuple[str, ...] = ("pos",)) -> DataFrame:
@@ -71,10 +76,10 @@ def routed_payloads(logs: DataFrame) -> DataFrame:
     """(topic, value) rows of all three kinds from one pass over the logs."""
     is_start = F.col("start").isNotNull()
     whole = F.to_json(F.struct(*LOG.names))
-    flat = F.when(~is_start, F.col("displays"))
-    displays = F.transform(flat, lambda d: F.struct(
-        F.lit(DWD_DISPLAY).alias("topic"),
-        F.to_json(F.struct(*_merged_display(d, False))).alias("value")))
+    fields = ", ".join(_merged_display("d.", False))
+    displays = F.expr(f"""
+        transform(if(start is null, displays, null), d -> named_struct(
+            'topic', '{DWD_DISPLAY}', 'value', to_json(struct({fields}))))""")
     none = F.array().cast("array<struct<topic:string,value:string>>")
     main = F.array(
         F.when(is_start, F.struct(F.lit(DWD_START).alias("topic"), whole.alias("value")))

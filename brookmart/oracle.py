@@ -416,20 +416,22 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "gmv_by_brand_day": (("penriched",), _BY_BRAND),
     "sales_by_province_day": (("rstats",), _BY_PROVINCE),
     "gmv_payload": (("penriched",), f"""
-        select '{{"status":0,"msg":"","data":' || order_amount || '}}' as payload
+        select '{{"status":0,"msg":""'
+               || coalesce(',"data":' || order_amount, '') || '}}' as payload
         from ({_GMV})"""),
     "brand_chart_payload": (("penriched",), f"""
         select '{{"status":0,"msg":"","data":{{"categories":['
-               || string_agg('"' || tm_name || '"', ',' order by tm_name)
+               || coalesce(string_agg('"' || tm_name || '"', ',' order by tm_name), '')
                || '],"series":[{{"name":"商品品牌","data":['
-               || string_agg(cast(order_amount as varchar), ',' order by tm_name)
+               || coalesce(string_agg(cast(order_amount as varchar), ',' order by tm_name), '')
                || ']}}]}}}}' as payload
         from ({_BY_BRAND})"""),
     "province_chart_payload": (("rstats",), f"""
         select '{{"status":0,"msg":"","data":{{"mapData":['
-               || string_agg('{{"name":"' || province_name || '","value":' || order_amount
-                             || ',"tooltipvalues":[' || order_count || ']}}', ','
-                             order by province_name)
+               || coalesce(string_agg('{{"name":"' || province_name || '","value":'
+                                      || order_amount || ',"tooltipvalues":['
+                                      || order_count || ']}}', ','
+                                      order by province_name), '')
                || '],"valueName":"销售额","tooltipNames":["订单数"],"tooltipUnits":["个"]}}}}'
                as payload
         from ({_BY_PROVINCE})"""),
