@@ -50,8 +50,6 @@ def write_stats(stats: DataFrame, path: str, checkpoint: str, mode: str = "appen
     In update mode the table keeps every refreshed total; read it with `latest_version`.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         kept = (sink_projection(batch).withColumn("day", F.substring("stt", 1, 10))
                 .withColumn("batch_id", F.lit(batch_id)))
         _write_partitions(kept, path, ["day", "batch_id"])

@@ -72,8 +72,7 @@ class InOrder(StatefulProcessor):
                 out.extend(done)
         if held:
             self.waiting.appendList(held)
-            for at in {self.release_at(h[0]) for h in held}:
-                self.handle.registerTimer(at)
+            self.handle.registerTimer(min(self.release_at(h[0]) for h in held))
         yield from map(_out_row, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -85,6 +84,7 @@ class InOrder(StatefulProcessor):
             rest = [tuple(w) for w in held if self.release_at(w.ts) > now]
             if rest:
                 self.waiting.put(rest)
+                self.handle.registerTimer(min(self.release_at(w[0]) for w in rest))
             else:
                 self.waiting.clear()
         for row in due:

@@ -4,6 +4,7 @@ A stream emits what its watermark has passed, so each input ends in a far-future
 whose own result is left out of the comparison.
 """
 
+import json
 import os
 
 import pytest
@@ -14,7 +15,9 @@ from brookmart import schemas as S
 from brookmart.functions.records import to_payload
 from brookmart.operators import firsts, logs, metrics, sequence
 from brookmart.plans import orders, stats
-from brookmart.sources.topics import TopicStore, read_topic
+from brookmart.sources.tables import read_dim
+from brookmart.sinks.topics import show_stream
+from brookmart.sources.topics import TopicStore, read_topic, read_topics, topic_table
 from brookmart.streaming import jobs, stateful
 
 SENTINEL = 4_102_444_800_000  # 2100-01-01
@@ -43,6 +46,7 @@ def texts_of(df):
 
 
 def rows(df, *columns):
+    columns = columns or df.columns
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
@@ -178,3 +182,129 @@ def test_log_chain_and_restart(spark, sf_dir, site):
                                     F.lit(1)),
                 "stt", "vc", "ch", "ar", "is_new", "pv_ct", "sv_ct", "uv_ct", "dur_sum")
     assert got == want and want
+
+
+def test_visitor_jobs(spark, site):
+    """Daily visitor and bounce jobs from the page topic to theirs."""
+    put(site, S.DWD_PAGE, [log_text("1", 1000), log_text("1", 2000, "b", "a"),
+                           log_text("2", 1000), log_text("end", SENTINEL)])
+    for _ in range(2):
+        jobs.uv_job(site).awaitTermination(120)
+        jobs.jump_job(site).awaitTermination(120)
+    uv = logs.parse_log(spark.read.text(site.topics.folder(S.DWM_UV)))
+    uj = logs.parse_log(spark.read.text(site.topics.folder(S.DWM_UJ)))
+    assert rows(uv, "common.mid", "ts") == [("1", 1000), ("2", 1000)]
+    assert rows(uj, "common.mid", "page.page_id") == [("2", "home")]
+
+
+def test_product_chain(spark, sf_dir, site):
+    """Eight topics to product statistics, then to keyword totals."""
+    split = logs.split_log(logs.parse_log(A.log_topic(spark, sf_dir)))
+    shown = logs.explode_displays(split["display"])
+    wide = orders.order_wide_facts(A.order_info(spark, sf_dir), A.order_detail(spark, sf_dir),
+                                   "30 days", "30 days")
+    paid = orders.payment_wide(A.payment_info(spark, sf_dir), wide)
+    refund, comment = A.refund_payment(spark, sf_dir), A.comment_info(spark, sf_dir)
+    favor, cart = A.favor_info(spark, sf_dir), A.cart_info(spark, sf_dir)
+    for topic, df in {S.DWD_PAGE: split["page"], S.DWD_DISPLAY: shown, S.DWD_FAVOR_INFO: favor,
+                      S.DWD_CART_INFO: cart, S.DWM_ORDER_WIDE: wide,
+                      S.DWM_PAYMENT_WIDE: paid, S.DWD_REFUND_PAYMENT: refund,
+                      S.DWD_COMMENT_INFO: comment}.items():
+        put(site, topic, texts_of(to_payload(df)))
+    put(site, S.DWD_FAVOR_INFO, ['{"sku_id":0,"create_time":"2100-01-01 00:00:00"}'], "end")
+
+    dims, one = A.dims(spark, sf_dir), F.lit(1)
+    for query in jobs.product_stats_job(site, dims, window="1 day", stat_ts=one):
+        query.awaitTermination(180)
+    jobs.product_stats_job(site, dims, window="1 day", stat_ts=one)[1].awaitTermination(180)
+    batch = jobs.enrich_product(stats.product_stats(metrics.union_all([
+        metrics.clicks(logs.page_views(split["page"])), metrics.displays(shown),
+        metrics.favors(favor), metrics.carts(cart), metrics.orders_m(wide),
+        metrics.payments_m(paid), metrics.refunds_m(refund), metrics.comments(comment)]),
+        "1 day", one).drop("window"), dims)
+    columns = S.PRODUCT_STATS.names
+    table = spark.read.parquet(f"{site.tables}/product_stats")
+    want = rows(batch, *columns)
+    assert rows(table, *columns) == want and want
+    assert set(table.columns) - set(columns) == {"day", "batch_id"}
+
+    jobs.product_keyword_job(site, stat_ts=one).awaitTermination(120)
+    words = spark.read.parquet(f"{site.tables}/product_keyword_stats")
+    latest = firsts.latest_version(words, ["stt", "edt", "keyword", "source"], "batch_id")
+    want = rows(stats.product_keyword_stats(batch, one), "stt", "keyword", "source", "ct")
+    assert rows(latest, "stt", "keyword", "source", "ct") == want and want
+
+
+def test_search_keyword_job(spark, sf_dir, site):
+    texts = texts_of(A.page_map_topic(spark, sf_dir))
+    end = ('{"page":{"page_id":"good_list","item_type":"keyword","item":"z"},'
+           f'"ts":{SENTINEL}}}')
+    put(site, S.DWD_PAGE, [*texts, end])
+    jobs.search_keyword_job(site, window="1 hour", stat_ts=F.lit(1)).awaitTermination(120)
+    batch = stats.search_keyword_stats(
+        A.page_map_topic(spark, sf_dir).select(
+            F.from_json("value", jobs.PAGE_MAP).alias("r")).select("r.*"), "1 hour", F.lit(1))
+    columns = ("stt", "edt", "keyword", "source", "ct", "ts")
+    want = rows(batch, *columns)
+    assert rows(spark.read.parquet(f"{site.tables}/search_keyword_stats"), *columns) == want
+    assert want
+
+
+def change(table, kind, ts, **data):
+    return json.dumps({"database": "shop", "table": table, "type": kind, "ts": ts, "xid": ts,
+                       "data": data})
+
+
+def test_changelog_job(spark, site, tmp_path):
+    """Facts go to topics and dimensions to tables, by a configuration that may change."""
+    def configure(*config_rows):
+        (spark.createDataFrame([(*r, None, None) for r in config_rows], S.CONFIG)
+         .coalesce(1).write.mode("overwrite").parquet(path))
+
+    path = str(tmp_path / "config")
+    configure(("user", "insert", "hbase", "dim_user", "id,name"),
+              ("pay", "insert", "kafka", S.DWD_PAYMENT_INFO, "id"))
+    put(site, S.ODS_DB, [change("user", "bootstrap-insert", 1, id=1, name="a", secret="s"),
+                         change("pay", "insert", 2, id=7, extra=1),
+                         change("cart", "insert", 3, sku_id=5)])
+    jobs.changelog_job(site, path).awaitTermination(120)
+
+    configure(("user", "insert", "hbase", "dim_user", "id,name"),
+              ("user", "update", "hbase", "dim_user", "id,name"),
+              ("cart", "insert", "kafka", S.DWD_CART_INFO, "sku_id"))
+    put(site, S.ODS_DB, [change("user", "update", 5, id=1, name="b"),
+                         change("user", "update", 4, id=1, name="late"),
+                         change("cart", "insert", 6, sku_id=6)], "part-1")
+    for _ in range(2):
+        jobs.changelog_job(site, path).awaitTermination(120)
+    assert rows(read_dim(spark, f"{site.tables}/dims", "dim_user", ["id", "name"])) == [
+        ("1", "b")]
+    written = spark.read.text(f"{site.topics.location}/{jobs.CHANGE_JOB}")
+    assert rows(written, "topic", "value") == [
+        (S.DWD_CART_INFO, '{"sku_id":6}'), (S.DWD_PAYMENT_INFO, '{"id":7}')]
+    # A downstream job reads one topic out of the shared folder.
+    assert stream_rows(spark, site.read(S.DWD_CART_INFO, S.CART_INFO), "carts",
+                       "sku_id") == [(6,)]
+
+
+def test_topic_tables(spark, site):
+    """Topics as SQL tables with event time, and a stream kept in memory."""
+    put(site, S.DWM_ORDER_WIDE, [
+        '{"order_id":1,"province_id":2,"province_name":"n","split_total_amount":1.5,'
+        '"create_time":"2024-01-01 00:00:01"}',
+        '{"order_id":9,"create_time":"2100-01-01 00:00:00"}'])
+    assert list(read_topics(spark, [S.DWM_ORDER_WIDE], site.topics)) == [S.DWM_ORDER_WIDE]
+    topic_table(spark, S.DWM_ORDER_WIDE, S.ORDER_WIDE, site.topics, view="wide_view",
+                event_time=F.col("create_time").cast("timestamp"))
+    counts = spark.sql("""select date_format(w.start, 'HH:mm:ss') as stt, n from (
+        select window(et, '5 seconds') as w, count(*) as n from wide_view
+        group by window(et, '5 seconds'))""")
+    assert stream_rows(spark, counts, "windows", "stt", "n") == [("00:00:00", 1)]
+    wide = site.read(S.DWM_ORDER_WIDE, S.ORDER_WIDE)
+    assert stream_rows(spark, stats.province_stats_sql(wide, stat_ts=1), "by_sql",
+                       "stt", "province_name", "order_count") == [
+        ("2024-01-01 00:00:00", "n", 1)]
+    query = show_stream(wide.select("order_id"), "shown_rows")
+    query.processAllAvailable()
+    query.stop()
+    assert rows(spark.table("shown_rows")) == [(1,), (9,)]
