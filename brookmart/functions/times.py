@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from brookmart.schemas import DATETIME, DAY
+from brookmart.schemas import DATETIME
 
 _UNIT_MS = {"millisecond": 1, "second": 1000, "minute": 60_000,
             "hour": 3_600_000, "day": 86_400_000}
@@ -49,7 +49,7 @@ def yyyymmdd(c: Column | str) -> Column:
 
 def age_in_years(birthday: Column | str, as_of: Column) -> Column:
     """Whole days lived over 365, cut to a whole number."""
-    return F.floor(F.datediff(as_of, F.to_date(birthday, DAY)) / 365).cast("int")
+    return F.floor(F.datediff(as_of, F.to_date(birthday)) / 365).cast("int")
 
 
 def now_millis() -> Column:

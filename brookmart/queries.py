@@ -143,11 +143,9 @@ def log_parse_fields(spark, sf):
 
 @query
 def log_split_counts(spark, sf):
-    split = logs.split_log(_logs(spark, sf))
-    split["display"] = logs.explode_displays(split["display"])
-    return metrics.union_all([
-        df.agg(F.count("*").alias("records")).select(F.lit(kind).alias("kind"), "records")
-        for kind, df in split.items()])
+    return (logs.routed_payloads(_logs(spark, sf))
+            .groupBy(F.expr("replace(topic, 'dwd_', '')").alias("kind"))
+            .agg(F.count("*").alias("records")))
 
 
 @query
