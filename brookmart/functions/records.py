@@ -13,9 +13,18 @@ def parse_dynamic(c: Column | str) -> Column:
 
 
 def parse_typed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """One column per field of `schema`, in place of the JSON text column."""
+    """One column per field of `schema`, in place of the JSON text column.
+
+    Numbers on the top level may also be given as text; what is no number reads as null.
+    """
     rest = [c for c in df.columns if c != value]
-    return df.select(*rest, parse_once(F.col(value), schema))
+    loose = T.StructType([
+        T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.NumericType) else f
+        for f in schema])
+    text = df.select(*rest, parse_once(F.col(value), loose))
+    return text.selectExpr(*[f"`{c}`" for c in rest], *[
+        f"try_cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`"
+        if isinstance(f.dataType, T.NumericType) else f"`{f.name}`" for f in schema])
 
 
 def parse_once(text: Column, schema: T.StructType) -> Column:

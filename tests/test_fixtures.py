@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from brookmart import schemas as S
 from brookmart.functions.keywords import explode_words, positive_counters, tokenize
+from brookmart.functions.records import parse_typed
 from brookmart.functions.times import age_in_years, duration_ms, yyyymmdd
 from brookmart.operators import changelog as C
 from brookmart.operators import enrich, firsts, logs, metrics, sequence, windows
@@ -350,6 +351,15 @@ def test_small_functions(spark):
     assert one.select(age).first()[0] == 0
 
 
+def test_numbers_given_as_text(spark):
+    records = from_elements(spark, [
+        '{"sku_id":"7","order_id":8,"total_amount":"1.505","create_time":"x"}',
+        '{"sku_id":"no","total_amount":2.5}', "not json"])
+    out = parse_typed(records, S.REFUND_PAYMENT).drop("pos")
+    assert [tuple(map(str, r)) for r in out.collect()] == [
+        ("7", "8", "1.51", "x"), ("None", "None", "2.50", "None"), ("None",) * 4]
+
+
 def test_log_files(spark, tmp_path):
     (tmp_path / "app.2024-01-01.log").write_text('{"ts":1}\n{"ts":1}\n')
     (tmp_path / "other.txt").write_text("no\n")
