@@ -2,11 +2,56 @@
 
 from __future__ import annotations
 
+from brookmart.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
 # Lower-casing A-Z only, as the operators do.
 NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
         "'abcdefghijklmnopqrstuvwxyz')")
 
+# Words after lower-casing.
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _places(phrase: str) -> str:
+    same = " and ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split()))
+    return f"list_filter(range(1, len(ws) + 1), lambda i: {same})"
+
+
+def _licenses() -> str:
+    """Every line against every template, without any of the join's filters."""
+    found = ", ".join(f"{_places(p)} as p{k}" for k, (p, _) in enumerate(PHRASES))
+    labels = ", ".join(f"case when len(p{k}) > 0 then '{x}' end"
+                       for k, (_, x) in enumerate(PHRASES))
+    every = " || ".join(f"p{k}" for k in range(len(PHRASES)))
+    templates = ", ".join(
+        f"('{label}', [{', '.join(repr(w) for w in sorted(set(text.split())))}])"
+        for label, text in TEMPLATES)
+
+    def joined(labels: str) -> str:
+        return (f"array_to_string(list_sort(list_distinct(list_filter({labels}, "
+                "lambda x: x is not null))), ',')")
+
+    return f"""
+        with d as (select row_number() over () as r, doc_id, {NORM} as norm from documents),
+        w as (select r, doc_id, regexp_extract_all(norm, '{WORDS}') as ws from d),
+        p as (select r, doc_id, len(ws) as n_words, {found} from w),
+        b as (select r, doc_id, n_words, {every} as places, [{labels}] as base from p),
+        l as (select r, list_distinct(regexp_extract_all(line, '{WORDS}')) as line_words
+              from (select r, unnest(string_split(norm, chr(10))) as line from d)),
+        t(label, words) as (values {templates}),
+        m as (select r, label, len(list_intersect(words, line_words)) / len(words)::double as score
+              from l, t
+              where len(list_intersect(words, line_words)) >= ceil({THRESHOLD} * len(words) - 1e-9)),
+        g as (select r, list(label) as more, max(score) as score from m group by r)
+        select doc_id, n_words, len(places) as n_base, list_min(places) - 1 as first_word,
+               list_max(places) - 1 as last_word, {joined("base")} as base_labels,
+               {joined("base || coalesce(more, [])")} as labels,
+               case when len(places) > 0 then 1.0 else coalesce(score, 0.0) end::double as score
+        from b left join g using (r)"""
+
+
 ORACLES: dict[str, str] = {
+    "op8_license_scan": _licenses(),
     "op2_exact_dedup": f"""
         with d as (select doc_id, {NORM} as norm from documents),
         g as (select norm, max(doc_id) as keep_id, count(*) as group_size from d group by norm)

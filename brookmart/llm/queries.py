@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmart.llm import decontamination, exact_dedup, packing, quality, sharding, simhash
+from brookmart.llm import (decontamination, exact_dedup, licenses, packing, quality, secrets,
+                           sharding, simhash, tokens, toxicity)
 from brookmart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,12 +55,38 @@ def op4_quality_grades(spark, sf):
     return quality.score(docs, model)
 
 
+@query
+def op5_compression_toxicity(spark, sf):
+    """Toxicity score of every document."""
+    docs = read(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf, "labels")))
+
+
 @query
 def op6_best_fit_packing(spark, sf):
     """Training sequences of four permitted lengths."""
     return packing.pack(read(spark, sf, "documents"))
 
 
+@query
+def op7_section_token_counts(spark, sf):
+    """Tokens of every line of every document."""
+    return tokens.count_sections(read(spark, sf, "documents"))
+
+
+@query
+def op8_license_scan(spark, sf):
+    """License phrases and notices of every document."""
+    return licenses.scan(read(spark, sf, "documents"))
+
+
+@query
+def op9_secret_scan(spark, sf):
+    """Secrets in every document."""
+    docs = read(spark, sf, "documents")
+    return secrets.scan(docs, secrets.train(docs))
+
+
 @query
 def op10_template_decontamination(spark, sf):
     """Documents that hold benchmark items, with the items."""
