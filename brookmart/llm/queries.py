@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brookmart.llm import (decontamination, exact_dedup, licenses, packing, quality, secrets,
                            sharding, simhash, tokens, toxicity)
-from brookmart.llm.common import read
+from brookmart.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,7 @@ def query(fn: Query) -> Query:
         for key, value in DEFAULTS.items():
             if spark.sparkContext.getConf().get(key) is None:
                 spark.conf.set(key, value)
+        ship(spark)
         return fn(spark, sf_dir)
 
     run.__doc__ = fn.__doc__
