@@ -5,6 +5,8 @@ Only what the tables lack is derived; see FIXTURES.md, section 5.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,19 +23,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@cache
-def facts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A fact table.  One read by fewer tasks than there are cores, as a single small file
-    is, is spread over them; a large one is left as it is."""
+# Start and end of a time span; the end is left out.
+Span = tuple[datetime, datetime]
+
+
+def facts(spark: SparkSession, sf_dir: str, name: str, at: str, span: Span | None = None
+          ) -> DataFrame:
+    """A fact table, or its rows with `at` inside the span: a filter that reaches the scan."""
     df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    if span is None:
+        return df
+    lo, hi = (F.lit(f"{t:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz") for t in span)
+    return df.where((F.col(at) >= lo) & (F.col(at) < hi))
 
 
-@cache
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
     """Events with zoned time, epoch milliseconds, and the number inside `props`."""
-    df = facts(spark, sf_dir, "events", "event_id")
+    df = facts(spark, sf_dir, "events", "ts", span)
     at = F.col("ts").cast("timestamp")
     return df.select("event_id", at.alias("at"), F.unix_millis(at).alias("ts"), "user_id",
                      "event_type", "value",
@@ -54,34 +60,45 @@ def _cents(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("bigint")
 
 
-def _page(item: Column) -> Column:
+def _page(item: Column, more: Sequence[Column] = ()) -> Column:
     entry = F.col("event_type").isin("signup", "view")
     page_id = F.when(F.col("event_type") == "error", "good_list").otherwise(F.col("event_type"))
     return F.struct(
         page_id.alias("page_id"), F.when(~entry, "home").alias("last_page_id"),
         F.when(_item_type().isNotNull(), item).alias("item"),
-        _item_type().alias("item_type"), _cents("value").alias("during_time"))
+        _item_type().alias("item_type"), _cents("value").alias("during_time"), *more)
 
 
 def _text(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
-def log_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Client log records as JSON text with their position."""
-    e = events(spark, sf_dir)
+def _more(wanted: bool, **columns: str) -> list[Column]:
+    return [F.col(c).alias(name) for name, c in columns.items()] if wanted else []
+
+
+def log_topic(spark: SparkSession, sf_dir: str, span: Span | None = None,
+              more: bool = False) -> DataFrame:
+    """Client log records as JSON text with their position.
+
+    With `more`, records have fields besides those that the typed readers know.
+    """
+    e = events(spark, sf_dir, span)
     user, k = F.col("user_id"), F.col("k")
     common = F.struct(
         user.cast("string").alias("mid"), _text("v", user % 4).alias("vc"),
         _text("ch", user % 3).alias("ch"), _text("ar", user % 5).alias("ar"),
-        F.lit("1").alias("is_new"))
+        F.lit("1").alias("is_new"), *_more(more, uid="user_id", os="event_type"))
     is_start = (F.col("event_type") == "signup") & (k % 2 == 0)
     start = F.when(is_start, F.struct(F.lit("icon").alias("entry")))
     displays = F.transform(F.sequence(F.lit(0), k % 3), lambda i: F.struct(
         (k + i + 1).cast("string").alias("item"), F.lit("sku_id").alias("item_type"),
-        F.lit("query").alias("display_type"), i.alias("order"), (i + 1).alias("pos_id")))
-    record = F.struct(common.alias("common"), start.alias("start"),
-                      _page(k.cast("string")).alias("page"), displays.alias("displays"), "ts")
+        F.lit("query").alias("display_type"), i.alias("order"), (i + 1).alias("pos_id"),
+        *_more(more, extra="k")))
+    page = _page(k.cast("string"), _more(more, source_type="event_type"))
+    error = F.when(k % 5 == 0, F.struct(k.alias("code"), F.lit("slow").alias("msg")))
+    record = F.struct(common.alias("common"), start.alias("start"), page.alias("page"),
+                      displays.alias("displays"), "ts", *([error.alias("err")] if more else []))
     return e.select(F.to_json(record).alias("value"), F.col("event_id").alias("pos"))
 
 
@@ -132,10 +149,10 @@ def _money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
 
 
-def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_info(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
     at = _time_text("o_orderdate")
     nothing = F.lit(None).cast("string")
-    return facts(spark, sf_dir, "orders", "o_orderkey").select(
+    return facts(spark, sf_dir, "orders", "o_orderdate", span).select(
         F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 25).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"), F.col("o_custkey").alias("user_id"),
         _money("o_totalprice").alias("total_amount"),
@@ -146,8 +163,8 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         at.alias("create_time"), nothing.alias("operate_time"))
 
 
-def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts(spark, sf_dir, "lineitem", "l_orderkey").select(
+def order_detail(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
+    return facts(spark, sf_dir, "lineitem", "l_shipdate", span).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
         _money(F.lit(ZERO)).alias("sku_price"),
@@ -159,8 +176,10 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money(F.lit(ZERO)).alias("split_coupon_amount"))
 
 
-def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = facts(spark, sf_dir, "orders", "o_orderkey").where(F.col("o_orderstatus").isin("F", "P"))
+def payment_info(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
+    """Payments of the orders in the span."""
+    paid = facts(spark, sf_dir, "orders", "o_orderdate", span).where(
+        F.col("o_orderstatus").isin("F", "P"))
     # A payment is made up to an hour after the order, by order number.
     late = F.make_dt_interval(mins=(F.col("o_orderkey") % 60).cast("int"))
     at = _time_text(F.col("o_orderdate") + late)
@@ -171,24 +190,26 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         at.alias("create_time"), at.alias("callback_time"))
 
 
-def favor_info(spark: SparkSession, sf_dir: str, event_type: str = "signup") -> DataFrame:
-    return events(spark, sf_dir).where(F.col("event_type") == event_type).select(
+def favor_info(spark: SparkSession, sf_dir: str, span: Span | None = None,
+               event_type: str = "signup") -> DataFrame:
+    return events(spark, sf_dir, span).where(F.col("event_type") == event_type).select(
         F.col("k").alias("sku_id"), _time_text("at").alias("create_time"))
 
 
-def cart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return favor_info(spark, sf_dir, "purchase")
+def cart_info(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
+    return favor_info(spark, sf_dir, span, "purchase")
 
 
-def refund_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts(spark, sf_dir, "lineitem", "l_orderkey").where(F.col("l_returnflag") == "R").select(
+def refund_payment(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
+    back = facts(spark, sf_dir, "lineitem", "l_shipdate", span).where(F.col("l_returnflag") == "R")
+    return back.select(
         F.col("l_partkey").alias("sku_id"), F.col("l_orderkey").alias("order_id"),
         _money("l_extendedprice").alias("total_amount"),
         _time_text("l_shipdate").alias("create_time"))
 
 
-def comment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts(spark, sf_dir, "lineitem", "l_orderkey").select(
+def comment_info(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
+    return facts(spark, sf_dir, "lineitem", "l_shipdate", span).select(
         F.col("l_partkey").alias("sku_id"),
         _text("120", (F.col("l_linenumber") - 1) % 5 + 1).alias("appraise"),
         _time_text("l_shipdate").alias("create_time"))

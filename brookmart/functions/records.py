@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def parse_dynamic(c: Column | str) -> Column:
-    """JSON text of any shape -> variant."""
-    return F.parse_json(c)
+    """JSON text of any shape -> variant; null where it is no JSON."""
+    return F.try_parse_json(c)
 
 
 def parse_typed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -27,6 +29,18 @@ def parse_typed(df: DataFrame, schema: T.StructType, value: str = "value") -> Da
         if isinstance(f.dataType, T.NumericType) else f"`{f.name}`" for f in schema])
 
 
+def pick(schema: T.StructType, fields: Sequence[str]) -> T.StructType:
+    """The part of `schema` that `fields` name; 'a.b' takes one field of the struct `a`."""
+    chosen = []
+    for f in schema:
+        inner = [x.split(".", 1)[1] for x in fields if x.startswith(f.name + ".")]
+        if f.name in fields:
+            chosen.append(f)
+        elif inner:
+            chosen.append(T.StructField(f.name, pick(f.dataType, inner)))
+    return T.StructType(chosen)
+
+
 def parse_once(text: Column, schema: T.StructType) -> Column:
     """The fields of a JSON text as columns, for a select list.
 

@@ -62,7 +62,7 @@ def prune_columns(df: DataFrame, data: str = "data", columns: str = "sink_column
     kept = F.expr(f"""
         to_json(map_filter(cast(parse_json({data}) as map<string, variant>),
                            (k, v) -> array_contains(split({columns}, ','), k)))""")
-    return df.withColumn(data, kept)
+    return df.withColumn("whole", F.col(data)).withColumn(data, kept)
 
 
 def route_by_sink(df: DataFrame) -> DataFrame:
@@ -81,14 +81,17 @@ def topic_rows(routed: DataFrame) -> DataFrame:
 def dim_rows(routed: DataFrame) -> DataFrame:
     """Dimension upserts: table, primary key values and all columns as text.
 
+    The key is taken from the record before pruning, so it need not be a kept column.
+
     The key columns default to `id`; a composite key is a comma list.
     """
     data = F.from_json("data", "map<string,string>")
     key_names = F.transform(F.split(F.coalesce("sink_pk", F.lit("id")), ","), F.trim)
     return (routed.where(F.col("route") == "dim")
                   .withColumn("data", data)
+                  .withColumn("whole", F.from_json("whole", "map<string,string>"))
                   .select("sink_table",
-                          F.transform(key_names, lambda k: F.col("data")[k]).alias("pk"),
+                          F.transform(key_names, lambda k: F.col("whole")[k]).alias("pk"),
                           "data", *CHANGE_ORDER))
 
 

@@ -7,7 +7,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.session import materialize
+
+# Columns that the enrichment takes of each dimension.
+DIM_COLUMNS = {
+    "user_info": ["id", "gender", "birthday"],
+    "base_province": ["id", "name", "iso_3166_2", "area_code", "iso_code"],
+    "sku_info": ["id", "sku_name", "price", "spu_id", "tm_id", "category3_id"],
+    "spu_info": ["id", "spu_name"], "base_trademark": ["id", "tm_name"],
+    "base_category3": ["id", "name"]}
 
 
 @dataclass(frozen=True)
@@ -73,8 +80,7 @@ PRODUCT_COLUMNS = ("sku_name", "sku_price", "spu_id", "spu_name", "tm_id", "tm_n
 def enrich_product(df: DataFrame, dims: dict[str, DataFrame], how: str = "inner") -> DataFrame:
     """Fill in the product columns from `sku_id`.
 
-    The resolved products are written to the shared folder first: the planner knows the
-    size of a stored table, but guesses that of a join far too high to broadcast it.
+    AQE sees the size of the resolved products at run time and broadcasts them if it can.
     """
-    products = materialize(product_lookup(dims), "products")
-    return enrich(df, [DimSpec(products, "sku_id", {c: c for c in PRODUCT_COLUMNS})], how)
+    return enrich(df, [DimSpec(product_lookup(dims), "sku_id", {c: c for c in PRODUCT_COLUMNS})],
+                  how)

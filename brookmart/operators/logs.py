@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.functions.records import parse_typed
+from brookmart.functions.records import parse_typed, pick
 from brookmart.operators.firsts import flag_new_visitor
 from brookmart.schemas import DISPLAY, DWD_DISPLAY, DWD_PAGE, DWD_START, LOG
 
@@ -13,8 +15,15 @@ COMMON = ("mid", "vc", "ch", "ar", "is_new")
 PAGE = ("page_id", "last_page_id", "item", "item_type", "during_time")
 
 
-def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
-    return parse_typed(df, LOG, value)
+def parse_log(df: DataFrame, value: str = "value",
+              fields: Sequence[str] | None = None) -> DataFrame:
+    """Typed columns of log records, and the whole text as `raw`.
+
+    With `fields` ('common.mid', 'ts', ...) only these are parsed and the text is dropped.
+    """
+    if fields is not None:
+        return parse_typed(df, pick(LOG, fields), value)
+    return parse_typed(df.withColumn("raw", F.col(value)), LOG, value)
 
 
 def split_log(logs: DataFrame) -> dict[str, DataFrame]:
@@ -72,21 +81,49 @@ def page_views(pages: DataFrame, keep: tuple[str, ...] = ("pos",)) -> DataFrame:
                         *[F.col(f"page.{c}") for c in PAGE], "ts")
 
 
-def routed_payloads(logs: DataFrame) -> DataFrame:
-    """(topic, value) rows of all three kinds from one pass over the logs."""
-    is_start = F.col("start").isNotNull()
-    whole = F.to_json(F.struct(*LOG.names))
-    fields = ", ".join(_merged_display("d.", False))
-    displays = F.expr(f"""
-        transform(if(start is null, displays, null), d -> named_struct(
-            'topic', '{DWD_DISPLAY}', 'value', to_json(struct({fields}))))""")
-    none = F.array().cast("array<struct<topic:string,value:string>>")
-    main = F.array(
-        F.when(is_start, F.struct(F.lit(DWD_START).alias("topic"), whole.alias("value")))
-         .when(F.col("page").isNotNull(),
-               F.struct(F.lit(DWD_PAGE).alias("topic"), whole.alias("value"))))
-    return (logs.select(F.explode(F.concat(main, F.coalesce(displays, none))).alias("r"))
-                .where("r is not null").select("r.*"))
+_ANY = "cast(map() as map<string, variant>)"
+
+
+def _object(variant: str) -> str:
+    """Fields of a JSON object by name; empty for what is none."""
+    return f"coalesce(try_cast({variant} as map<string, variant>), {_ANY})"
+
+
+def _merge(*sources: str) -> str:
+    """One map of several; of equal names the last one counts."""
+    merged = sources[0]
+    for later in sources[1:]:
+        merged = (f"map_concat(map_filter({merged}, (k, v) -> not map_contains_key({later}, k)), "
+                  f"{later})")
+    return merged
+
+
+def routed_payloads(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(topic, value) rows of all three kinds from one pass over the logs.
+
+    Start and page payloads are the record as it came, with all its fields, and only
+    `common.is_new` replaced.  A display payload is the display's object with those of
+    common, page and the time merged in, later ones winning.
+    """
+    fixed = "map('is_new', cast(common.is_new as variant))"
+    rows = (logs.withColumn("_all", F.expr(_object("try_parse_json(raw)")))
+                .withColumn("_common", F.expr(
+                    f"if(common.is_new is null, {_object("_all['common']")}, "
+                    f"{_merge(_object("_all['common']"), fixed)})"))
+                .withColumn("_page", F.expr(_object("_all['page']")))
+                .withColumn("_shown", F.expr(
+                    "try_cast(_all['displays'] as array<map<string, variant>>)")))
+    whole = f"to_json({_merge('_all', "map('common', to_variant_object(_common))")})"
+    flat = _merge("d", "_common", "_page", "map('ts', _all['ts'])")
+    payloads = F.expr(f"""
+        concat(
+            case when start is not null then array(struct('{DWD_START}' as topic, {whole} as value))
+                 when page is not null then array(struct('{DWD_PAGE}' as topic, {whole} as value))
+                 else array() end,
+            if(start is null and _shown is not null,
+               transform(_shown, d -> struct('{DWD_DISPLAY}' as topic, to_json({flat}) as value)),
+               array()))""")
+    return rows.select(*keep, F.inline(payloads))
 
 
 def repair_is_new(logs: DataFrame, tie: tuple[str, ...] = ("pos",)) -> DataFrame:

@@ -33,19 +33,12 @@ def count_once(df: DataFrame, window: Column, keys: Sequence[str], ids: dict[str
 
     `ids` maps output names to id columns; a row carries at most one id.  The first
     aggregation brings all rows of one id together, the second counts what is left.  No
-    set of ids is ever held for a group, and a hot key is spread by its ids.
-
-    In batch, rows without an id skip the first aggregation and its shuffle.
+    set of ids is ever held for a group, and a hot key is spread by its ids.  Rows without
+    an id are one group of the first aggregation, added up before its shuffle.
     """
     added = [F.expr(f"sum({c}) as {c}") for c in sums]
     grouping = ["window", *keys, *ids.values()]
-    rows = df.select(window, *keys, *ids.values(), *sums)
-    if df.isStreaming:
-        by_id = rows.groupBy(*grouping).agg(*added)
-    else:
-        has_id = " or ".join(f"{c} is not null" for c in ids.values())
-        by_id = (rows.where(has_id).groupBy(*grouping).agg(*added)
-                     .unionByName(rows.where(f"not ({has_id})")))
+    by_id = df.select(window, *keys, *ids.values(), *sums).groupBy(*grouping).agg(*added)
     return by_id.groupBy("window", *keys).agg(
         *added, *[F.expr(f"count({c}) as {out}") for out, c in ids.items()])
 

@@ -232,6 +232,16 @@ _BY_PROVINCE = f"""select province_name,
            cast(sum(order_count) as bigint) as order_count
     from rstats where stt like '{_DAY}%' group by province_name"""
 
+def _fields(fixed: str, common: str, page: str, more: str) -> str:
+    """Names of a payload's fields; `common` and `page` stand before those of the two."""
+    names = ", ".join(f"{common} || '{c}'" for c in
+                      ("mid", "vc", "ch", "ar", "is_new", "uid", "os"))
+    maybe = ", ".join(f"case when {c} is not null then {page} || '{c}' end"
+                      for c in ("last_page_id", "item", "item_type"))
+    return (f"array_to_string(list_sort(list_distinct(list_filter({fixed} || "
+            f"[{names}, {maybe}{more}], lambda x: x is not null))), ',')")
+
+
 _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "topic_table_json": (("ev",), """
         select event_id, ts, user_id, event_type, value from ev"""),
@@ -242,6 +252,17 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         select 'start' as kind, count(*) as records from logs where is_start
         union all select 'page', count(*) from logs where not is_start
         union all select 'display', count(*) from shown"""),
+    "log_payload_fields": (("logs", "shown"), f"""
+        select pos, case when is_start then 'dwd_start' else 'dwd_page' end as topic,
+               {_fields("['common', 'displays', 'page', 'ts', 'page.during_time', 'page.page_id', "
+                        "'page.source_type']", "'common.'", "'page.'",
+                        ", if(is_start, 'start', null), if(k % 5 = 0, 'err', null)")} as fields
+        from logs
+        union all
+        select pos, 'dwd_display',
+               {_fields("['ts', 'item', 'item_type', 'display_type', 'order', 'pos_id', 'extra', "
+                        "'during_time', 'page_id', 'source_type']", "''", "''", "")}
+        from shown"""),
     "display_explode_merge": (("shown",), """
         select pos, mid, vc, ch, ar, '1' as is_new, page_id, last_page_id,
                coalesce(item, cast(k + i + 1 as varchar)) as item,

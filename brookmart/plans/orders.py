@@ -61,7 +61,7 @@ def order_wide_facts(info: DataFrame, detail: DataFrame, lower: str = ORDER_SLAC
 
 
 def enrich_order(wide: DataFrame, dims: dict[str, DataFrame], as_of: Column | None = None,
-                 how: str = "inner") -> DataFrame:
+                 how: str = "inner", keep: tuple[str, ...] = ()) -> DataFrame:
     """Fill in the user, region and product columns from six dimensions."""
     as_of = F.current_date() if as_of is None else as_of
     filled = ("user_gender", "user_age", "province_name", "province_area_code",
@@ -73,7 +73,7 @@ def enrich_order(wide: DataFrame, dims: dict[str, DataFrame], as_of: Column | No
         "province_name": "name", "province_area_code": "area_code",
         "province_iso_code": "iso_code", "province_3166_2_code": "iso_3166_2"})
     out = enrich(wide.drop(*filled), [regions, users], how)
-    return enrich_product(out, dims, how).select(ORDER_WIDE.names)
+    return enrich_product(out, dims, how).select(*ORDER_WIDE.names, *keep)
 
 
 def payment_wide(payments: DataFrame, wide: DataFrame, before: str = PAY_WINDOW,

@@ -6,7 +6,7 @@ The test events are far apart, so windows and limits are wider here than the def
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,12 +48,25 @@ def query(fn: Query) -> Query:
 
 # ---- shared inputs -----------------------------------------------------------------
 
-def _logs(spark, sf):
-    return logs.parse_log(A.log_topic(spark, sf))
+PAGE_FIELDS = ("common", "start", "page", "ts")
+
+
+def _span(day):
+    """The day of a yyyymmdd number."""
+    start = datetime.strptime(str(day), "%Y%m%d")
+    return start, start + timedelta(days=1)
+
+
+def _wider(span, before, after):
+    return (span[0] - before, span[1] + after) if span else None
+
+
+def _logs(spark, sf, *fields, span=None):
+    return logs.parse_log(A.log_topic(spark, sf, span), fields=fields or None)
 
 
 def _views(spark, sf):
-    return logs.page_views(_logs(spark, sf))
+    return logs.page_views(_logs(spark, sf, *PAGE_FIELDS))
 
 
 def _pages(spark, sf):
@@ -62,13 +75,15 @@ def _pages(spark, sf):
     return materialize(logs.page_views(page), "dwd_page")
 
 
-def _order_facts(spark, sf):
-    return orders.order_wide_facts(A.order_info(spark, sf), A.order_detail(spark, sf),
+def _order_facts(spark, sf, span=None):
+    slack = timedelta(days=30)
+    return orders.order_wide_facts(A.order_info(spark, sf, span),
+                                   A.order_detail(spark, sf, _wider(span, slack, slack)),
                                    ORDER_SLACK, ORDER_SLACK)
 
 
-def _order_wide(spark, sf):
-    return orders.enrich_order(_order_facts(spark, sf), A.dims(spark, sf), F.lit(AS_OF))
+def _order_wide(spark, sf, span=None):
+    return orders.enrich_order(_order_facts(spark, sf, span), A.dims(spark, sf), F.lit(AS_OF))
 
 
 def _changes(spark, sf):
@@ -88,32 +103,41 @@ def _routed(spark, sf):
     return C.route_by_sink(C.prune_columns(_configured(spark, sf)))
 
 
-def _product_metrics(spark, sf):
-    split = logs.split_log(_logs(spark, sf))
-    wide = materialize(_order_facts(spark, sf), "dwm_order_wide")
-    paid = orders.payment_wide(A.payment_info(spark, sf), wide)
-    return metrics.union_all([
+def _product_metrics(spark, sf, span=None):
+    """Metric rows of all kinds; with a span only those in it, of sources read as far."""
+    split = logs.split_log(_logs(spark, sf, span=span))
+    # A payment is made up to an hour after its order, and joins orders around it.
+    hour = timedelta(hours=1)
+    around = _wider(span, hour, hour)
+    wide = materialize(_order_facts(spark, sf, around), "dwm_order_wide")
+    paid = orders.payment_wide(A.payment_info(spark, sf, around), wide)
+    rows = metrics.union_all([
         metrics.clicks(logs.page_views(split["page"])),
         metrics.displays(logs.explode_displays(split["display"])),
-        metrics.favors(A.favor_info(spark, sf)),
-        metrics.carts(A.cart_info(spark, sf)),
+        metrics.favors(A.favor_info(spark, sf, span)),
+        metrics.carts(A.cart_info(spark, sf, span)),
         metrics.orders_m(wide),
         metrics.payments_m(paid),
-        metrics.refunds_m(A.refund_payment(spark, sf)),
-        metrics.comments(A.comment_info(spark, sf)),
+        metrics.refunds_m(A.refund_payment(spark, sf, span)),
+        metrics.comments(A.comment_info(spark, sf, span)),
     ])
+    if span is None:
+        return rows
+    lo, hi = (int(t.replace(tzinfo=timezone.utc).timestamp() * 1000) for t in span)
+    return rows.where((F.col("ts") >= lo) & (F.col("ts") < hi))
 
 
-def _product_stats(spark, sf):
-    return stats.product_stats(_product_metrics(spark, sf), ONE_DAY, F.lit(STAT_TS))
+def _product_stats(spark, sf, span=None):
+    return stats.product_stats(_product_metrics(spark, sf, span), ONE_DAY, F.lit(STAT_TS))
 
 
-def _product_stats_enriched(spark, sf):
-    return enrich_product(sinks.sink_projection(_product_stats(spark, sf)), A.dims(spark, sf))
+def _product_stats_enriched(spark, sf, span=None):
+    return enrich_product(sinks.sink_projection(_product_stats(spark, sf, span)),
+                          A.dims(spark, sf))
 
 
-def _province_stats(spark, sf):
-    return stats.province_stats(_order_wide(spark, sf), ONE_DAY, F.lit(STAT_TS))
+def _province_stats(spark, sf, span=None):
+    return stats.province_stats(_order_wide(spark, sf, span), ONE_DAY, F.lit(STAT_TS))
 
 
 # ---- sources, parsing, log records -------------------------------------------------
@@ -148,6 +172,22 @@ def log_split_counts(spark, sf):
             .agg(F.count("*").alias("records")))
 
 
+@query
+def log_payload_fields(spark, sf):
+    """Topic and field names of every payload, of records with fields no reader knows."""
+    rows = logs.routed_payloads(logs.parse_log(A.log_topic(spark, sf, more=True)), ("pos",))
+    return rows.withColumn("v", F.expr(
+        "cast(parse_json(value) as map<string, variant>)")).select("pos", "topic", F.expr("""
+        array_join(array_sort(flatten(array(
+            map_keys(v),
+            transform(map_keys(coalesce(try_cast(v['common'] as map<string, variant>),
+                                        cast(map() as map<string, variant>))),
+                      k -> concat('common.', k)),
+            transform(map_keys(coalesce(try_cast(v['page'] as map<string, variant>),
+                                        cast(map() as map<string, variant>))),
+                      k -> concat('page.', k))))), ',')""").alias("fields"))
+
+
 @query
 def display_explode_merge(spark, sf):
     return logs.explode_displays(logs.split_log(_logs(spark, sf))["display"], keep=("pos",))
@@ -285,7 +325,8 @@ def daily_unique_visitors(spark, sf):
 
 @query
 def daily_uv_count(spark, sf):
-    return (firsts.daily_uv(_views(spark, sf)).groupBy(millis_to_text("ts", DAY).alias("day"))
+    seen = _logs(spark, sf, "common.mid", "ts").select("pos", "common.mid", "ts")
+    return (firsts.daily_uv(seen).groupBy(millis_to_text("ts", DAY).alias("day"))
             .agg(F.count("*").alias("uv")))
 
 
@@ -342,8 +383,8 @@ def visitor_stats(spark, sf):
 
 @query
 def product_clicks(spark, sf):
-    return metrics.clicks(logs.page_views(logs.split_log(_logs(spark, sf))["page"])).select(
-        "sku_id", "click_ct", "ts")
+    rows = _logs(spark, sf, *PAGE_FIELDS).where("start is null and page is not null")
+    return metrics.clicks(logs.page_views(rows)).select("sku_id", "click_ct", "ts")
 
 
 @query
@@ -425,7 +466,7 @@ def keyword_tokens(spark, sf):
 
 @query
 def document_words(spark, sf):
-    docs = A.facts(spark, sf, "documents", "doc_id").select("doc_id", "text")
+    docs = A.table(spark, sf, "documents").select("doc_id", "text")
     return (explode_words(docs, "text").groupBy("word")
             .agg(F.count("*").alias("documents")))
 
@@ -456,17 +497,17 @@ def product_keyword_stats(spark, sf):
 
 @query
 def gmv_day(spark, sf):
-    return serving.gmv(_product_stats_enriched(spark, sf), SALES_DAY)
+    return serving.gmv(_product_stats_enriched(spark, sf, _span(SALES_DAY)), SALES_DAY)
 
 
 @query
 def gmv_by_brand_day(spark, sf):
-    return serving.gmv_by_brand(_product_stats_enriched(spark, sf), SALES_DAY)
+    return serving.gmv_by_brand(_product_stats_enriched(spark, sf, _span(SALES_DAY)), SALES_DAY)
 
 
 @query
 def sales_by_province_day(spark, sf):
-    return serving.sales_by_province(_province_stats(spark, sf), SALES_DAY)
+    return serving.sales_by_province(_province_stats(spark, sf, _span(SALES_DAY)), SALES_DAY)
 
 
 @query

@@ -22,9 +22,11 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that already exists."""
+    """Give a session that already exists the runtime settings its user has not chosen."""
+    chosen = spark.sparkContext.getConf()
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if chosen.get(key) is None:
+            spark.conf.set(key, value)
     return spark
 
 

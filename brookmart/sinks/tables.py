@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,22 +24,52 @@ def _write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
        .partitionBy(*by).parquet(path))
 
 
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Add a micro-batch to a table; a repeated one replaces its own earlier rows."""
+    _write_partitions(rows.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id"])
+
+
+# Rows as stored, however many epochs and tables there are, none included.
+DIM_STORE = ("pk array<string>, data map<string,string>, ts bigint, xid bigint, xoffset bigint, "
+             "sink_table string, epoch int, batch_id long")
+
+
+def stored_dims(spark: SparkSession, root: str) -> DataFrame:
+    """All versions that the dimension tables hold; none if nothing was ever written."""
+    try:
+        return spark.read.schema(DIM_STORE).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], DIM_STORE)
+
+
 def upsert_dim(rows: DataFrame, batch_id: int, root: str, fold_every: int = FOLD_EVERY) -> None:
     """Add one micro-batch of dimension upserts, for all tables in one write.
 
-    A batch adds its newest row per key; readers take the newest over all batches, and an
-    epoch of `fold_every` batches begins with the current rows of the one before.  So a
-    batch costs what it holds and not what the table holds, and repeating one is
-    harmless: it replaces its own partition.
+    A batch adds its newest row per key; readers take the newest of the newest epoch, and a
+    new epoch begins with the current rows of the one before once that holds `fold_every`
+    batches.  So a batch costs what it holds and not what the table holds.  The epoch follows
+    from what is stored, not from the batch's number: after a lost checkpoint numbers begin
+    again, and rows still go where readers look.  Repeating a batch is harmless: versions are
+    ordered by their place in the changelog, equal ones collapse.
+
+    Rows whose key is null or partly null go to the folder `<root>_rejected`.
     """
     spark = rows.sparkSession
-    epoch = batch_id // fold_every
-    latest = latest_dim_rows(rows)
-    if epoch > 0 and batch_id % fold_every == 0:
-        old = (spark.read.parquet(root).where(F.col("epoch") == epoch - 1)
-                    .select(latest.columns))
-        latest = latest_dim_rows(old.unionByName(latest))
-    marked = latest.withColumn("epoch", F.lit(epoch)).withColumn("batch_id", F.lit(batch_id))
+    whole = F.size("pk") > 0
+    whole = whole & ~F.exists("pk", lambda k: k.isNull())
+    write_batch(rows.where(~whole), f"{root}_rejected", batch_id)
+    stored = stored_dims(spark, root)
+    epochs = stored.groupBy("epoch").agg(F.countDistinct("batch_id").alias("batches"))
+    newest = epochs.orderBy(F.desc("epoch")).first()
+    epoch = newest["epoch"] if newest else 0
+    latest = latest_dim_rows(rows.where(whole))
+    if newest and newest["batches"] >= fold_every:
+        old = stored.where(F.col("epoch") == epoch).select(latest.columns)
+        latest, epoch = latest_dim_rows(old.unionByName(latest)), epoch + 1
+    marked = (latest.withColumn("epoch", F.lit(epoch))
+              .withColumn("batch_id", F.unix_micros(F.current_timestamp())))
     _write_partitions(marked, root, ["sink_table", "epoch", "batch_id"])
 
 

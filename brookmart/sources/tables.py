@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmart.operators.changelog import CHANGE_ORDER
 from brookmart.operators.firsts import latest_version
+from brookmart.sinks.tables import stored_dims
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
@@ -19,10 +18,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
 
 def read_dim(spark: SparkSession, root: str, table: str, columns: list[str]) -> DataFrame:
     """Current rows of one dimension written by `upsert_dim`, all columns text."""
-    base = f"{root}/sink_table={table}"
-    files = spark.read.parquet(base).inputFiles()
-    epoch = max(int(re.search(r"/epoch=(\d+)/", f).group(1)) for f in files)
-    rows = spark.read.parquet(f"{base}/epoch={epoch}")
+    stored = stored_dims(spark, root)
+    # The newest epoch over all tables: a fold carries every table over.  Both the maximum
+    # and the filter read folder names only.
+    epoch = stored.agg(F.max("epoch")).first()[0]
+    rows = stored.where((F.col("sink_table") == table) & (F.col("epoch") == F.lit(epoch)))
     current = latest_version(rows, ["pk"], CHANGE_ORDER[0], [*CHANGE_ORDER[1:], "batch_id"])
     return current.select([F.col("data")[c].alias(c) for c in columns])
 

@@ -1,11 +1,13 @@
 """The warehouse's streaming jobs, from topic to topic or table.
 
-Each job starts a query of its own checkpoint folder and returns it.  A stream join
-or union waits for its slowest input: an idle topic holds back the output.
+Each job starts a query of its own checkpoint folder and returns it.  A stream join waits
+for its slower input.  A union whose watermark is set after it, as in the statistics, follows
+its fastest topic: rows of slower topics that come later than the delay are dropped as late.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,16 +16,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from brookmart import schemas as S
-from brookmart.functions.records import parse_typed, to_payload
+from brookmart.functions.records import parse_typed, pick, to_payload
 from brookmart.operators import changelog as C
 from brookmart.operators import logs as L
 from brookmart.operators import metrics as M
-from brookmart.operators.enrich import enrich_product
+from brookmart.operators.enrich import DIM_COLUMNS, enrich_product
 from brookmart.plans import orders, stats
-from brookmart.sinks.tables import upsert_dim, write_stats
+from brookmart.sinks.tables import upsert_dim, write_batch, write_stats
 from brookmart.sinks.topics import (TRIGGER, start, write_batch_by_topic, write_by_topic,
                                     write_topic)
-from brookmart.sources.tables import read_config
+from brookmart.sources.tables import read_config, read_dim
 from brookmart.sources.topics import TopicStore, read_ods_log, read_topic, typed
 from brookmart.streaming import stateful
 
@@ -35,7 +37,9 @@ SHARED = {S.DWD_START: LOG_JOB, S.DWD_PAGE: LOG_JOB, S.DWD_DISPLAY: LOG_JOB,
           S.DWD_ORDER_INFO: CHANGE_JOB, S.DWD_ORDER_DETAIL: CHANGE_JOB,
           S.DWD_PAYMENT_INFO: CHANGE_JOB, S.DWD_FAVOR_INFO: CHANGE_JOB,
           S.DWD_CART_INFO: CHANGE_JOB, S.DWD_REFUND_PAYMENT: CHANGE_JOB,
-          S.DWD_COMMENT_INFO: CHANGE_JOB}
+          S.DWD_COMMENT_INFO: CHANGE_JOB,
+          S.DWM_ORDER_WIDE: f"{S.DWM_ORDER_WIDE}_job",
+          S.DWS_PRODUCT_STATS: f"{S.DWS_PRODUCT_STATS}_job"}
 
 
 @dataclass(frozen=True)
@@ -58,15 +62,25 @@ class Site:
         return write_topic(to_payload(df), topic, self.topics, self.checkpoint(topic),
                            self.trigger)
 
+    def whole_to_topic(self, df: DataFrame, topic: str) -> StreamingQuery:
+        """Records as they came, all their fields included."""
+        return write_topic(df.select(F.col("raw").alias("value")), topic, self.topics,
+                           self.checkpoint(topic), self.trigger)
+
     def to_table(self, df: DataFrame, table: str, mode: str = "append") -> StreamingQuery:
         return write_stats(df, f"{self.tables}/{table}", self.checkpoint(table), mode,
                            self.trigger)
 
 
-def _page_log(site: Site) -> DataFrame:
-    """Page topic as nested records with device and position."""
-    rows = read_topic(site.spark, S.DWD_PAGE, site.topics)
-    return parse_typed(rows, S.LOG).withColumn("mid", F.col("common.mid"))
+def _keyed(rows: DataFrame, *fields: str) -> DataFrame:
+    """Whole records as text with device, time, position and what else a rule needs."""
+    named = parse_typed(rows.withColumn("raw", F.col("value")),
+                        pick(S.LOG, ["common.mid", "ts", *fields]))
+    return named.select("raw", "pos", "ts", "common.mid", *fields)
+
+
+def _page_log(site: Site, *fields: str) -> DataFrame:
+    return _keyed(read_topic(site.spark, S.DWD_PAGE, site.topics), *fields)
 
 
 def _flat_pages(site: Site, topic: str) -> DataFrame:
@@ -77,10 +91,10 @@ def log_job(site: Site, raw: DataFrame | None = None, window: str = "5 seconds",
             delay: str = "3 seconds") -> StreamingQuery:
     """Raw logs -> repaired visitor flag -> start, page and display topics, in one pass."""
     raw = read_topic(site.spark, S.ODS_LOG, site.topics) if raw is None else raw
-    logs = L.parse_log(raw).withColumn("mid", F.col("common.mid"))
     flagged = stateful.flag_new_visitor_stream(
-        logs.withColumn("is_new", F.lit(None).cast("string")), window=window, delay=delay)
-    fixed = flagged.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
+        _keyed(raw).withColumn("is_new", F.lit(None).cast("string")), window=window, delay=delay)
+    fixed = L.parse_log(flagged.select(F.col("raw").alias("value"), "is_new")).withColumn(
+        "common", F.col("common").withField("is_new", F.col("is_new")))
     return write_by_topic(L.routed_payloads(fixed), LOG_JOB, site.topics,
                           site.checkpoint(LOG_JOB), site.trigger)
 
@@ -91,14 +105,12 @@ def log_files_job(site: Site, folder: str) -> StreamingQuery:
 
 
 def uv_job(site: Site, **options) -> StreamingQuery:
-    uv = stateful.daily_uv_stream(_page_log(site), **options)
-    return site.to_topic(uv.drop("mid", "pos"), S.DWM_UV)
+    return site.whole_to_topic(stateful.daily_uv_stream(_page_log(site), **options), S.DWM_UV)
 
 
 def jump_job(site: Site, gap: str = "5 seconds", **options) -> StreamingQuery:
-    uj = stateful.user_jump_stream(_page_log(site), gap,
-                                   last_page=F.col("page.last_page_id"), **options)
-    return site.to_topic(uj.drop("mid", "pos"), S.DWM_UJ)
+    uj = stateful.user_jump_stream(_page_log(site, "page.last_page_id"), gap, **options)
+    return site.whole_to_topic(uj, S.DWM_UJ)
 
 
 def changelog_job(site: Site, config_path: str, database: str = "shop") -> StreamingQuery:
@@ -121,13 +133,51 @@ def changelog_job(site: Site, config_path: str, database: str = "shop") -> Strea
                  site.trigger, CHANGE_JOB)
 
 
-def order_wide_job(site: Site, dims: dict[str, DataFrame], as_of: Column | None = None,
+Dims = dict[str, DataFrame] | Callable[[], dict[str, DataFrame]]
+
+
+def dims_from_tables(site: Site) -> Callable[[], dict[str, DataFrame]]:
+    """The dimensions that `changelog_job` keeps, as stored at the time of the call."""
+    return lambda: {name: read_dim(site.spark, f"{site.tables}/dims", f"dim_{name}", columns)
+                    for name, columns in DIM_COLUMNS.items()}
+
+
+def enrich_to_topic(site: Site, facts: DataFrame, topic: str, dims: Dims,
+                    rich: Callable[[DataFrame, dict[str, DataFrame]], DataFrame]
+                    ) -> StreamingQuery:
+    """Facts of each micro-batch enriched with the dimensions of that moment, to a topic.
+
+    Dimension rows that arrive while the job runs are seen by the next batch.  Facts without
+    their dimension rows are kept in `<tables>/unmatched/<topic>` as JSON text.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = dims() if callable(dims) else dims
+        batch = batch.withColumn("_fact", F.xxhash64(*batch.columns)).persist()
+        try:
+            found = rich(batch, now).persist()
+            try:
+                missing = to_payload(batch.join(found.select("_fact").distinct(), "_fact",
+                                                "left_anti").drop("_fact"))
+                rows = to_payload(found.drop("_fact")).withColumn("topic", F.lit(topic))
+                write_batch_by_topic(rows, batch_id, f"{topic}_job", site.topics)
+                write_batch(missing, f"{site.tables}/unmatched/{topic}", batch_id)
+            finally:
+                found.unpersist()
+        finally:
+            batch.unpersist()
+
+    return start(facts.writeStream.foreachBatch(write), site.checkpoint(topic), site.trigger,
+                 topic)
+
+
+def order_wide_job(site: Site, dims: Dims, as_of: Column | None = None,
                    lower: str = orders.ORDER_SLACK, upper: str = orders.ORDER_SLACK,
                    delay: str = orders.ORDER_DELAY) -> StreamingQuery:
     facts = orders.order_wide_facts(site.read(S.DWD_ORDER_INFO, S.ORDER_INFO),
                                     site.read(S.DWD_ORDER_DETAIL, S.ORDER_DETAIL),
                                     lower, upper, delay)
-    return site.to_topic(orders.enrich_order(facts, dims, as_of), S.DWM_ORDER_WIDE)
+    return enrich_to_topic(site, facts, S.DWM_ORDER_WIDE, dims, lambda batch, now: (
+        orders.enrich_order(batch, now, as_of, keep=("_fact",))))
 
 
 def payment_wide_job(site: Site, **options) -> StreamingQuery:
@@ -154,12 +204,11 @@ def product_metrics(site: Site) -> DataFrame:
         M.comments(site.read(S.DWD_COMMENT_INFO, S.COMMENT_INFO))])
 
 
-def product_stats_job(site: Site, dims: dict[str, DataFrame],
-                      **options) -> list[StreamingQuery]:
+def product_stats_job(site: Site, dims: Dims, **options) -> list[StreamingQuery]:
     """Statistics to their topic, and from there to the result table."""
     sums = stats.product_stats(product_metrics(site), **options).drop("window")
-    rich = enrich_product(sums, dims).select(S.PRODUCT_STATS.names)
-    return [site.to_topic(rich, S.DWS_PRODUCT_STATS),
+    return [enrich_to_topic(site, sums, S.DWS_PRODUCT_STATS, dims, lambda batch, now: (
+                enrich_product(batch, now).select(*S.PRODUCT_STATS.names, "_fact"))),
             site.to_table(site.read(S.DWS_PRODUCT_STATS, S.PRODUCT_STATS), "product_stats")]
 
 
