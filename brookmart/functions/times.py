@@ -20,8 +20,11 @@ def duration_ms(text: str) -> int:
 
 
 def text_to_time(c: Column | str) -> Column:
-    """'yyyy-MM-dd HH:mm:ss' text -> timestamp; a cast is far cheaper than a pattern."""
-    return (F.col(c) if isinstance(c, str) else c).cast("timestamp")
+    """'yyyy-MM-dd HH:mm:ss' text -> timestamp, null where it is none.
+
+    A cast is far cheaper than a pattern.
+    """
+    return (F.col(c) if isinstance(c, str) else c).try_cast("timestamp")
 
 
 def text_to_millis(c: Column | str, fmt: str | None = None) -> Column:

@@ -50,13 +50,13 @@ def visitor_metrics(pages: DataFrame, uv: DataFrame, uj: DataFrame) -> DataFrame
 
 
 def _millis(text_time: str) -> str:
-    return f"unix_millis(cast({text_time} as timestamp))"
+    return f"unix_millis(try_cast({text_time} as timestamp))"
 
 
 def _product_row(df: DataFrame, ts: str, sku: str = "sku_id", **values: str) -> DataFrame:
     """Metric rows from SQL expressions; what is not given is zero, or null for ids."""
     return df.selectExpr(
-        f"cast({sku} as bigint) as sku_id",
+        f"try_cast({sku} as bigint) as sku_id",
         *[f"cast({values.get(c, '0')} as bigint) as {c}" for c in PRODUCT_COUNTS],
         *[f"cast({values.get(c, '0')} as {MONEY.simpleString()}) as {c}"
           for c in PRODUCT_AMOUNTS],

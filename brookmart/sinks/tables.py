@@ -57,8 +57,7 @@ def upsert_dim(rows: DataFrame, batch_id: int, root: str, fold_every: int = FOLD
     Rows whose key is null or partly null go to the folder `<root>_rejected`.
     """
     spark = rows.sparkSession
-    whole = F.size("pk") > 0
-    whole = whole & ~F.exists("pk", lambda k: k.isNull())
+    whole = F.coalesce((F.size("pk") > 0) & ~F.exists("pk", lambda k: k.isNull()), F.lit(False))
     write_batch(rows.where(~whole), f"{root}_rejected", batch_id)
     stored = stored_dims(spark, root)
     epochs = stored.groupBy("epoch").agg(F.countDistinct("batch_id").alias("batches"))

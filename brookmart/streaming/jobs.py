@@ -76,7 +76,8 @@ def _keyed(rows: DataFrame, *fields: str) -> DataFrame:
     """Whole records as text with device, time, position and what else a rule needs."""
     named = parse_typed(rows.withColumn("raw", F.col("value")),
                         pick(S.LOG, ["common.mid", "ts", *fields]))
-    return named.select("raw", "pos", "ts", "common.mid", *fields)
+    return named.select("raw", "pos", "ts", "common.mid", *fields).where(
+        "mid is not null and ts is not null")
 
 
 def _page_log(site: Site, *fields: str) -> DataFrame:
@@ -99,6 +100,35 @@ def log_job(site: Site, raw: DataFrame | None = None, window: str = "5 seconds",
                           site.checkpoint(LOG_JOB), site.trigger)
 
 
+def rejected(rows: DataFrame, required: dict[str, str]) -> DataFrame:
+    """Records that a job cannot use, as JSON text of the record and the reason.
+
+    `required` has a JSON path and type for each name; what none of the readers can do
+    without is missing if the path is absent or does not convert.
+    """
+    parsed = rows.withColumn("_v", F.try_parse_json("value"))
+    reason = F.when(F.col("_v").isNull(), "no JSON")
+    for name, where in required.items():
+        path, kind = where.split()
+        text = F.try_variant_get("_v", path, "string")
+        reason = reason.when(text.isNull() | text.try_cast(kind).isNull(), f"no {name}")
+    return (parsed.withColumn("reason", reason).where(F.col("reason").isNotNull())
+                  .select(F.to_json(F.struct("value", "reason")).alias("value")))
+
+
+def rejects_job(site: Site, topic: str) -> StreamingQuery:
+    """Records of a topic that its jobs leave out, with the reason, to `<topic>_rejected`."""
+    if topic in (S.ODS_LOG, S.DWD_PAGE):
+        required = {"device": "$.common.mid string", "time": "$.ts bigint"}
+    elif topic == S.ODS_DB:
+        required = {"table": "$.table string", "data": "$.data string"}
+    else:
+        required = {"time": "$.create_time timestamp"}
+    bad = rejected(read_topic(site.spark, topic, site.topics), required)
+    return write_topic(bad, f"{topic}_rejected", site.topics,
+                       site.checkpoint(f"{topic}_rejected"), site.trigger)
+
+
 def log_files_job(site: Site, folder: str) -> StreamingQuery:
     """`log_job` fed from day-rolled log files."""
     return log_job(site, read_ods_log(site.spark, folder, stream=True))

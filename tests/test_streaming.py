@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from brookmart import adapters as A
 from brookmart import schemas as S
 from brookmart.functions.records import to_payload
+from brookmart.operators import changelog as C
 from brookmart.operators import firsts, logs, metrics, sequence
 from brookmart.plans import orders, stats
 from brookmart.sources.tables import read_dim
+from brookmart.sinks.tables import upsert_dim
 from brookmart.sinks.topics import show_stream
 from brookmart.sources.topics import TopicStore, read_topic, read_topics, topic_table
 from brookmart.streaming import jobs, stateful
@@ -308,3 +310,132 @@ def test_topic_tables(spark, site):
     query.processAllAvailable()
     query.stop()
     assert rows(spark.table("shown_rows")) == [(1,), (9,)]
+
+
+RICH = ('{"common":{"mid":"%s","vc":"v","ch":"c","ar":"a","is_new":"1","uid":"77","os":"ios"},'
+        '"page":{"page_id":"home","item":"5","during_time":10,"source_type":"q"},'
+        '"err":{"code":5},"displays":[{"item":"1","order":2,"extra":"x"}],"ts":%d}')
+
+
+def stored(spark, site, topic):
+    return [json.loads(r[0]) for r in
+            spark.read.schema("value string").text(site.topics.folder(topic)).collect()
+            ] if topic not in site.topics.shared else [
+        json.loads(r[0]) for r in spark.read.schema("value string, topic string").text(
+            site.topics.folder(topic)).where(F.col("topic") == topic).select("value").collect()]
+
+
+def test_records_keep_all_their_fields(spark, site):
+    """Fields that no reader knows reach the page, display, visitor and bounce topics."""
+    put(site, S.ODS_LOG, [RICH % ("d1", 10_000), RICH % ("d1", 20_000), RICH % ("end", SENTINEL),
+                          "not JSON", '{"common":null,"ts":1}'])
+    jobs.log_job(site).awaitTermination(120)
+    pages = [p for p in stored(spark, site, S.DWD_PAGE) if p["common"]["mid"] == "d1"]
+    assert sorted((p["ts"], p["common"]["is_new"]) for p in pages) == [(10_000, "1"), (20_000, "0")]
+    for p in pages:
+        want = json.loads(RICH % ("d1", p["ts"]))
+        want["common"]["is_new"] = p["common"]["is_new"]
+        assert p == want
+    shown = [d for d in stored(spark, site, S.DWD_DISPLAY) if d["mid"] == "d1"]
+    assert len(shown) == 2
+    assert all(d["extra"] == "x" and d["item"] == "5" and d["uid"] == "77" and d["order"] == 2
+               and d["source_type"] == "q" for d in shown)
+    jobs.rejects_job(site, S.ODS_LOG).awaitTermination(120)
+    assert sorted((r["value"], r["reason"]) for r in stored(spark, site, "ods_log_rejected")) == [
+        ("not JSON", "no JSON"), ('{"common":null,"ts":1}', "no device")]
+    jobs.uv_job(site).awaitTermination(120)
+    jobs.jump_job(site).awaitTermination(120)
+    for topic in (S.DWM_UV, S.DWM_UJ):
+        own = [r for r in stored(spark, site, topic) if r["common"]["mid"] == "d1"]
+        assert own and all(r["err"] == {"code": 5} and r["common"]["os"] == "ios" for r in own)
+
+
+def change(table, xid, data, kind="insert"):
+    return json.dumps({"database": "shop", "table": table, "type": kind, "ts": 1, "xid": xid,
+                       "xoffset": 0, "data": data})
+
+
+def test_dimensions_stay_live(spark, site, tmp_path):
+    """A product that arrives after the order job started is joined by its next batch."""
+    names = {"user_info": {"id": 1, "gender": "F", "birthday": "1990-01-01"},
+             "base_province": {"id": 2, "name": "N", "iso_3166_2": "x", "area_code": "1",
+                               "iso_code": "c"},
+             "spu_info": {"id": 3, "spu_name": "s"}, "base_trademark": {"id": 4, "tm_name": "t"},
+             "base_category3": {"id": 5, "name": "c"}}
+    sku = {"sku_name": "n", "price": "1.00", "spu_id": 3, "tm_id": 4, "category3_id": 5}
+    config = str(tmp_path / "config")
+    tables = [*names, "sku_info"]
+    spark.createDataFrame(
+        [(t, "insert", "hbase", f"dim_{t}", ",".join(names.get(t, {"id": 0, **sku})), "id", None)
+         for t in tables], S.CONFIG).write.parquet(config)
+    put(site, S.ODS_DB, [change(t, 1, row) for t, row in names.items()]
+        + [change("sku_info", 2, {"id": 10, **sku})])
+    jobs.changelog_job(site, config).awaitTermination(120)
+    at = '"create_time":"2024-01-0%d 00:00:00"'
+
+    def order(name, day, product):
+        put(site, S.DWD_ORDER_INFO, ['{"id":%d,"user_id":1,"province_id":2,%s}'
+                                     % (day, at % day)], name)
+        put(site, S.DWD_ORDER_DETAIL, ['{"id":%d,"order_id":%d,"sku_id":%d,"sku_num":1,%s}'
+                                       % (day, day, product, at % day)], name)
+
+    def run():
+        jobs.order_wide_job(site, jobs.dims_from_tables(site), delay="400 days").awaitTermination(120)
+        return sorted((r["order_id"], r["sku_name"]) for r in stored(spark, site, S.DWM_ORDER_WIDE))
+
+    order("part-0", 1, 10)
+    order("part-1", 2, 11)
+    assert run() == [(1, "n")]
+    missing = spark.read.parquet(f"{site.tables}/unmatched/{S.DWM_ORDER_WIDE}")
+    assert [json.loads(r.value)["sku_id"] for r in missing.collect()] == [11]
+    put(site, S.ODS_DB, [change("sku_info", 3, {"id": 11, **sku, "sku_name": "new"})], "part-9")
+    jobs.changelog_job(site, config).awaitTermination(120)
+    order("part-2", 3, 11)
+    assert run() == [(1, "n"), (3, "new")]
+
+
+def test_dimension_store(spark, tmp_path):
+    """No rows before the first fold; numbers that begin again; keys outside the kept columns."""
+    root = str(tmp_path / "dims")
+    rows_of = "sink_table string, pk array<string>, data map<string,string>, ts long, xid long, xoffset long"
+
+    def batch(*versions):
+        return spark.createDataFrame(
+            [("dim_t", pk, {"id": "1", "name": name}, 1, xid, 0) for pk, name, xid in versions],
+            rows_of)
+
+    assert read_dim(spark, root, "dim_t", ["id", "name"]).collect() == []
+    for i in range(3):
+        upsert_dim(batch(), i, root, 2)
+    upsert_dim(batch((["1"], "a", 1)), 3, root, 2)
+    upsert_dim(batch((["1"], "b", 2)), 4, root, 2)
+    upsert_dim(batch((["2"], "x", 2)), 5, root, 2)
+    upsert_dim(batch((["1"], "c", 3), (None, "no", 4), ([None], "no", 5)), 0, root, 2)
+    got = rows(read_dim(spark, root, "dim_t", ["name"]))
+    assert got == [("c",), ("x",)]
+    assert spark.read.parquet(f"{root}_rejected").count() == 2
+    assert rows(read_dim(spark, root, "dim_none", ["name"])) == []
+
+
+def test_key_outside_the_kept_columns(spark):
+    config = spark.createDataFrame([("t", "insert", "hbase", "dim_t", "name", "id", None)], S.CONFIG)
+    text = spark.createDataFrame([(change("t", i, {"id": i, "name": "n"}),) for i in range(3)],
+                                 "value string")
+    routed = C.route_by_sink(C.prune_columns(C.join_config(C.changelog_etl(text), config)))
+    assert rows(C.dim_rows(routed).select(F.col("pk")[0], F.map_keys("data")[0])) == [
+        ("0", "name"), ("1", "name"), ("2", "name")]
+
+
+def test_bad_orders_stop_no_job(spark, sf_dir, site):
+    """Unreadable times and numbers are left out and kept with a reason; good rows arrive."""
+    order_site(spark, sf_dir, site)
+    put(site, S.DWD_ORDER_INFO, ['{"id":1,"create_time":"soon"}', "{{", '{"id":"x"}'], "bad")
+    jobs.rejects_job(site, S.DWD_ORDER_INFO).awaitTermination(120)
+    assert sorted(r["reason"] for r in stored(spark, site, "dwd_order_info_rejected")) == [
+        "no JSON", "no time", "no time"]
+    dims, as_of = A.dims(spark, sf_dir), F.lit("2024-01-31").cast("date")
+    jobs.order_wide_job(site, dims, as_of, "30 days", "30 days", "4000 days").awaitTermination(180)
+    assert stored(spark, site, S.DWM_ORDER_WIDE)
+    bad = spark.createDataFrame([("abc", 1, "sku_id"), ("5", 2, "sku_id")],
+                                "item string, ts long, item_type string")
+    assert rows(metrics.clicks(bad).where("sku_id is not null"), "sku_id", "ts") == [(5, 2)]
