@@ -18,6 +18,7 @@ WINDOW = "5 seconds"
 VISITOR_DELAY = "20 seconds"
 PRODUCT_DELAY = "10 seconds"
 SQL_DELAY = "3 seconds"
+KEYWORD_DELAY = "1 day"
 
 KEYWORD_COUNTERS = ("click_ct", "cart_ct", "order_ct")
 
@@ -130,12 +131,18 @@ def product_words(stats: DataFrame,
 
 
 def product_keyword_stats(stats: DataFrame, stat_ts: Column | None = None,
-                          segmenter: Callable[[Column], Column] | None = None) -> DataFrame:
+                          segmenter: Callable[[Column], Column] | None = None,
+                          delay: str = KEYWORD_DELAY) -> DataFrame:
     """Counters of products summed by the words of their names.
 
     On a stream this is a running total: use update mode, and read the result with
-    `latest_version` over (stt, edt, keyword, source).
+    `latest_version` over (stt, edt, keyword, source).  Totals of windows that ended more than
+    `delay` before the newest one leave the state.
     """
-    sums = (product_words(stats, segmenter)
-            .groupBy("stt", "edt", "keyword", "source").agg(F.sum("ct").alias("ct")))
-    return sums.withColumn("ts", _stamp(stat_ts))
+    words = product_words(stats, segmenter)
+    keys = ["stt", "edt", "keyword", "source"]
+    if stats.isStreaming:
+        words = with_event_time(words, text_to_time("edt"), delay)
+        keys.append("et")
+    sums = words.groupBy(*keys).agg(F.sum("ct").alias("ct"))
+    return sums.drop("et").withColumn("ts", _stamp(stat_ts))

@@ -6,9 +6,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from brookmart.operators.changelog import latest_dim_rows
-from brookmart.sinks.topics import TRIGGER, start
+from brookmart.operators.changelog import latest_config, latest_dim_rows
+from brookmart.schemas import CONFIG
+from brookmart.sinks.topics import TRIGGER, run_id, start
 
 # A dimension table is rewritten to its current rows every so many micro-batches.
 FOLD_EVERY = 100
@@ -26,7 +28,9 @@ def _write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Add a micro-batch to a table; a repeated one replaces its own earlier rows."""
-    _write_partitions(rows.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id"])
+    marked = (rows.withColumn("run", F.lit(run_id(rows.sparkSession)))
+                  .withColumn("batch_id", F.lit(batch_id)))
+    _write_partitions(marked, path, ["run", "batch_id"])
 
 
 # Rows as stored, however many epochs and tables there are, none included.
@@ -81,13 +85,53 @@ def write_stats(stats: DataFrame, path: str, checkpoint: str, mode: str = "appen
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         kept = (sink_projection(batch).withColumn("day", F.substring("stt", 1, 10))
+                .withColumn("run", F.lit(run_id(batch.sparkSession)))
                 .withColumn("batch_id", F.lit(batch_id)))
-        _write_partitions(kept, path, ["day", "batch_id"])
+        _write_partitions(kept, path, ["day", "run", "batch_id"])
 
     return start(stats.writeStream.outputMode(mode).foreachBatch(write_batch),
                  checkpoint, trigger)
 
 
+def compact_day(spark: SparkSession, path: str, day: str, files: int = 1) -> None:
+    """Rewrite one closed day of a result table as one folder of `files` files.
+
+    The day is staged beside the table first, so a run that breaks off can be repeated:
+    what it replaces is read from the stage.  Only for days that no query writes any more.
+    """
+    stage = f"{path}_compacting/{day}"
+    rows = spark.read.parquet(path).where(F.col("day") == day).drop("day", "run", "batch_id")
+    rows.coalesce(files).write.mode("overwrite").parquet(stage)
+    (spark.read.parquet(stage)
+        .withColumn("run", F.lit("compacted")).withColumn("batch_id", F.lit(0))
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("run", "batch_id").parquet(f"{path}/day={day}"))
+
+
+def store_config(changes: DataFrame, root: str) -> None:
+    """Fold configuration changes into the stored configuration.
+
+    Every fold writes all rows in force as a new version, which appears with one rename;
+    readers take the newest, so none sees half a table.
+    """
+    spark = changes.sparkSession
+    columns = ["kind", *CONFIG.names, "seq"]
+    schema = StructType([*CONFIG, StructField("seq", LongType()), StructField("version", LongType())])
+    try:
+        stored = spark.read.schema(schema).parquet(root)
+        newest = stored.agg(F.max("version")).first()[0]
+        old = stored.where(F.col("version") == newest).withColumn("kind", F.lit("+I"))
+        changes = old.select(columns).unionByName(changes.select(columns))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest, changes = 0, changes.select(columns)
+    kept = latest_config(changes.withColumn("_seq", F.col("seq")), ("seq",)).withColumnRenamed(
+        "_seq", "seq")
+    _write_partitions(kept.withColumn("version", F.lit((newest or 0) + 1).cast("long")), root,
+                      ["version"])
+
+
 def write_stats_jdbc(stats: DataFrame, url: str, table: str, checkpoint: str,
                      mode: str = "append", trigger: str | None = TRIGGER,
                      **options: str) -> StreamingQuery:

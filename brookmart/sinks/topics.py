@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -25,6 +25,15 @@ def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None = TRIGG
     return writer.trigger(processingTime=trigger).start()
 
 
+def run_id(spark: SparkSession) -> str:
+    """Which query writes: its checkpoint's id, kept over restarts and new after a reset.
+
+    Batch numbers begin again with a new checkpoint; with this beside them, an earlier
+    run's output is never replaced.
+    """
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def kafka_write_options(store: TopicStore) -> dict[str, str]:
     return {"kafka.bootstrap.servers": store.location,
             "kafka.transaction.timeout.ms": str(15 * 60 * 1000), **store.options}
@@ -69,8 +78,9 @@ def write_batch_by_topic(batch: DataFrame, batch_id: int, job: str, store: Topic
     if store.kind == "kafka":
         rows.write.format("kafka").options(**kafka_write_options(store)).save()
         return
-    (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch_id")
+    (rows.withColumn("run", F.lit(run_id(batch.sparkSession)))
+         .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "run", "batch_id")
          .text(f"{store.location}/{job}"))
 
 

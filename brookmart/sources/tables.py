@@ -28,5 +28,12 @@ def read_dim(spark: SparkSession, root: str, table: str, columns: list[str]) ->
 
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
-    """The configuration as stored now; call it once per micro-batch to see changes."""
-    return spark.read.parquet(path)
+    """The configuration as stored now; call it once per micro-batch to see changes.
+
+    Of a table with versions the newest is read.
+    """
+    stored = spark.read.parquet(path)
+    if "version" not in stored.columns:
+        return stored
+    newest = stored.agg(F.max("version")).first()[0]
+    return stored.where(F.col("version") == newest).drop("seq", "version")

@@ -22,7 +22,7 @@ from brookmart.operators import logs as L
 from brookmart.operators import metrics as M
 from brookmart.operators.enrich import DIM_COLUMNS, enrich_product
 from brookmart.plans import orders, stats
-from brookmart.sinks.tables import upsert_dim, write_batch, write_stats
+from brookmart.sinks.tables import store_config, upsert_dim, write_batch, write_stats
 from brookmart.sinks.topics import (TRIGGER, start, write_batch_by_topic, write_by_topic,
                                     write_topic)
 from brookmart.sources.tables import read_config, read_dim
@@ -143,6 +143,16 @@ def jump_job(site: Site, gap: str = "5 seconds", **options) -> StreamingQuery:
     return site.whole_to_topic(uj, S.DWM_UJ)
 
 
+def config_job(site: Site, changes: DataFrame, config_path: str) -> StreamingQuery:
+    """Changes of the configuration (`kind`, its columns, `seq`) to the stored table that
+    `changelog_job` reads before each of its batches."""
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        store_config(batch, config_path)
+
+    return start(changes.writeStream.foreachBatch(fold), site.checkpoint("config"), site.trigger,
+                 "config")
+
+
 def changelog_job(site: Site, config_path: str, database: str = "shop") -> StreamingQuery:
     """Change records -> fact topics and dimension tables, by the stored configuration.
 

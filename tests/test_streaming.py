@@ -17,7 +17,7 @@ from brookmart.operators import changelog as C
 from brookmart.operators import firsts, logs, metrics, sequence
 from brookmart.plans import orders, stats
 from brookmart.sources.tables import read_dim
-from brookmart.sinks.tables import upsert_dim
+from brookmart.sinks.tables import compact_day, upsert_dim
 from brookmart.sinks.topics import show_stream
 from brookmart.sources.topics import TopicStore, read_topic, read_topics, topic_table
 from brookmart.streaming import jobs, stateful
@@ -228,7 +228,7 @@ def test_product_chain(spark, sf_dir, site):
     table = spark.read.parquet(f"{site.tables}/product_stats")
     want = rows(batch, *columns)
     assert rows(table, *columns) == want and want
-    assert set(table.columns) - set(columns) == {"day", "batch_id"}
+    assert set(table.columns) - set(columns) == {"day", "run", "batch_id"}
 
     jobs.product_keyword_job(site, stat_ts=one).awaitTermination(120)
     words = spark.read.parquet(f"{site.tables}/product_keyword_stats")
@@ -439,3 +439,76 @@ def test_bad_orders_stop_no_job(spark, sf_dir, site):
     bad = spark.createDataFrame([("abc", 1, "sku_id"), ("5", 2, "sku_id")],
                                 "item string, ts long, item_type string")
     assert rows(metrics.clicks(bad).where("sku_id is not null"), "sku_id", "ts") == [(5, 2)]
+
+
+def test_result_table_over_resets_and_compaction(spark, site):
+    """A lost checkpoint loses nothing, a repeated batch adds nothing, a day becomes one folder."""
+    schema = "stt string, n long"
+
+    def feed(n):
+        put(site, "figures", [f'{{"stt":"2024-01-0{1 + n % 2} 00:00:00","n":{n}}}'], f"part-{n}")
+
+    def run():
+        query = site.to_table(site.read("figures", spark.createDataFrame([], schema).schema), "figures")
+        query.awaitTermination(120)
+
+    def stored_n():
+        return sorted(r.n for r in spark.read.parquet(f"{site.tables}/figures").collect())
+
+    feed(1)
+    run()
+    feed(2)
+    run()
+    assert stored_n() == [1, 2]
+    fresh = jobs.Site(spark, site.topics, site.tables, f"{site.checkpoints}-new", trigger=None)
+    query = fresh.to_table(fresh.read("figures", spark.createDataFrame([], schema).schema), "figures")
+    query.awaitTermination(120)
+    assert stored_n() == [1, 1, 2, 2]  # the new run reads all again and replaces nothing
+    compact_day(spark, f"{site.tables}/figures", "2024-01-01")
+    compact_day(spark, f"{site.tables}/figures", "2024-01-01")
+    assert stored_n() == [1, 1, 2, 2]
+    assert os.listdir(f"{site.tables}/figures/day=2024-01-01") != [] and {
+        d for d in os.listdir(f"{site.tables}/figures/day=2024-01-01") if "=" in d} == {"run=compacted"}
+
+
+def test_failure_between_write_and_commit(spark, site, monkeypatch):
+    """The batch function breaks after its output: the restart writes the batch once."""
+    from brookmart.sinks import tables
+    put(site, "figures", ['{"stt":"2024-01-01 00:00:00","n":1}'])
+    real = tables._write_partitions
+    state = {"left": 1}
+
+    def breaks(*args):
+        real(*args)
+        if state["left"]:
+            state["left"] = 0
+            raise RuntimeError("after the write")
+
+    monkeypatch.setattr(tables, "_write_partitions", breaks)
+    schema = spark.createDataFrame([], "stt string, n long").schema
+    with pytest.raises(Exception, match="after the write"):
+        site.to_table(site.read("figures", schema), "figures").awaitTermination(120)
+    site.to_table(site.read("figures", schema), "figures").awaitTermination(120)
+    assert [r.n for r in spark.read.parquet(f"{site.tables}/figures").collect()] == [1]
+
+
+def test_configuration_changes_routing(spark, site, tmp_path):
+    config = str(tmp_path / "config")
+
+    def set_sink(seq, sink, target):
+        row = {"kind": "+U", "source_table": "t", "operate_type": "insert", "sink_type": sink,
+               "sink_table": target, "sink_columns": "id", "sink_pk": "id", "seq": seq}
+        put(site, "table_process", [json.dumps(row)], f"part-{seq}")
+        schema = "kind string, " + ", ".join(f"{c} string" for c in S.CONFIG.names) + ", seq long"
+        jobs.config_job(site, site.read("table_process", spark.createDataFrame([], schema).schema),
+                        config).awaitTermination(120)
+
+    set_sink(1, "kafka", S.DWD_CART_INFO)
+    put(site, S.ODS_DB, [change("t", 1, {"id": 1})], "part-1")
+    jobs.changelog_job(site, config).awaitTermination(120)
+    set_sink(2, "kafka", S.DWD_FAVOR_INFO)
+    set_sink(0, "kafka", S.DWD_COMMENT_INFO)  # an older change comes late
+    put(site, S.ODS_DB, [change("t", 2, {"id": 2})], "part-2")
+    jobs.changelog_job(site, config).awaitTermination(120)
+    assert stored(spark, site, S.DWD_CART_INFO) == [{"id": 1}]
+    assert stored(spark, site, S.DWD_FAVOR_INFO) == [{"id": 2}]
