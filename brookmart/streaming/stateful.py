@@ -56,6 +56,10 @@ class InOrder(StatefulProcessor):
         """Output of a record that need not wait, or None to let it wait."""
         return None
 
+    def comes_out(self, row: Row) -> bool:
+        """Whether the record's text may be needed; others wait without it."""
+        return True
+
     def settle(self, row: Row) -> list[tuple]:
         raise NotImplementedError
 
@@ -67,7 +71,8 @@ class InOrder(StatefulProcessor):
         for row in rows:
             done = self.pass_on(row)
             if done is None:
-                held.append((row.ts, row.pos, row.first, row.second, row.day, row.value))
+                held.append((row.ts, row.pos, row.first, row.second, row.day,
+                             row.value if self.comes_out(row) else None))
             else:
                 out.extend(done)
         if held:
@@ -145,6 +150,9 @@ class FollowedBy(InOrder):
         super().init(handle)
         self.pending = handle.getValueState("pending", "ts bigint, value string")
 
+    def comes_out(self, row):
+        return row.first
+
     def settle(self, row):
         out = []
         if self.pending.exists():
