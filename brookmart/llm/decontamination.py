@@ -30,7 +30,8 @@ SHORTEST = 4        # items with fewer tokens are too common to look for
 MIN_WINDOWS = 3     # windows of an item that must be found, or all it has
 BITMAP_BITS = 23    # the filter takes 2**BITMAP_BITS bits, whatever the benchmark's size
 SLICE_BITS = 16
-CACHE = 1 << 19
+CACHE = 1 << 18
+HITS = 20_000       # most hits held before they are sent on
 
 # Unit words that follow numbers.
 UNITS = frozenset("""
@@ -42,51 +43,82 @@ UNITS = frozenset("""
     month months year years degree degrees
 """.split())
 
-TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
+TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?]")
 LITERAL, NUMBER, UNIT, CAPITAL, END = range(5)
-KIND = np.uint64(7)
 BASE = 0x9E3779B97F4A7C15
 SCHEMA = "pos int, width int, hash long, pattern string, slots array<string>"
 
 
-class Codes(dict):
-    """Token -> hash with its kind in the low bits; forgets all when it grows too large."""
+def classify(token: str) -> tuple[int, str]:
+    """A token's kind, as far as it tells by itself, and its lower-case word."""
+    low = token.lower()
+    if token in ".!?":
+        return END, token
+    if token[0].isdigit():
+        return NUMBER, token
+    if low in UNITS:
+        return UNIT, low
+    if len(token) > 1 and token[0].isupper() and token[1:].islower():
+        return CAPITAL, low
+    return LITERAL, low
 
-    def __missing__(self, token: str) -> int:
-        if token in ".!?\n":
-            kind, word = END, token
-        elif token[0].isdigit():
-            kind, word = NUMBER, token
-        elif token.lower() in UNITS:
-            kind, word = UNIT, token.lower()
-        elif len(token) > 1 and token[0].isupper() and token[1:].islower():
-            kind, word = CAPITAL, token.lower()
-        else:
-            kind, word = LITERAL, token.lower()
-        if len(self) >= CACHE:
-            self.clear()
-        code = xxhash.xxh64_intdigest(word, 7) & ~7 | kind
-        self[token] = code
-        return code
 
+class Chunks(dict):
+    """What stands between white space -> its number; the tokens of a chunk are kept by number.
 
-def template(text: str, codes: Codes
-             ) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """`(raw tokens, places of the template's tokens in them, their kinds, their hashes)`.
+    Chunks repeat, so each is cut into tokens once and documents are gathers from the arrays.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self.words: list[str] = []
+        self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.kind, self.hash = np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
+
+    def __missing__(self, chunk: str) -> int:
+        number = len(self)
+        tokens = TOKEN.findall(chunk)
+        if number == len(self.first):
+            self.first, self.count = np.resize(self.first, 2 * number), np.resize(
+                self.count, 2 * number)
+        while len(self.words) + len(tokens) > len(self.kind):
+            self.kind, self.hash = np.resize(self.kind, 2 * len(self.kind)), np.resize(
+                self.hash, 2 * len(self.hash))
+        self.first[number], self.count[number] = len(self.words), len(tokens)
+        for token in tokens:
+            kind, word = classify(token)
+            self.kind[len(self.words)] = kind
+            self.hash[len(self.words)] = xxhash.xxh64_intdigest(word, 7) | 7
+            self.words.append(token)
+        self[chunk] = number
+        return number
+
+
+def template(text: str, chunks: Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`(numbers of the template's tokens among the chunks' words, their kinds, hashes)`.
 
     A unit counts only after a number, a name is a capitalised word that does not begin a
-    sentence.
+    sentence; a line feed ends one.
     """
-    found = TOKEN.findall(text)
-    raw = np.fromiter(map(codes.__getitem__, found), np.uint64, len(found))
-    kinds = (raw & KIND).astype(np.int8)
+    if len(chunks) > CACHE:
+        chunks.reset()
+    found = text.replace("\n", " . ").split()
+    numbers = np.fromiter(map(chunks.__getitem__, found), np.int64, len(found))
+    count = chunks.count[numbers]
+    ends = np.cumsum(count)
+    tokens = np.repeat(chunks.first[numbers] - ends + count, count)
+    tokens += np.arange(len(tokens))
+    kinds = chunks.kind[tokens]
     before = np.r_[np.int8(END), kinds[:-1]]
-    kinds = np.where((kinds == CAPITAL) & (before == END), LITERAL, kinds)
-    kinds = np.where((kinds == UNIT) & (before != NUMBER), LITERAL, kinds)
-    stay = np.flatnonzero(kinds != END)
-    kinds = kinds[stay]
-    hashes = np.where(kinds == LITERAL, raw[stay] & ~KIND, kinds.astype(np.uint64))
-    return found, stay, kinds, hashes
+    kinds[(kinds == CAPITAL) & (before == END)] = LITERAL
+    kinds[(kinds == UNIT) & (before != NUMBER)] = LITERAL
+    stay = kinds != END
+    tokens, kinds = tokens[stay], kinds[stay]
+    return tokens, kinds, np.where(kinds == LITERAL, chunks.hash[tokens], kinds.astype(np.uint64))
 
 
 def windows(hashes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,16 +142,16 @@ def slots_of(tokens: list[str], kinds: np.ndarray) -> tuple[str, list[str]]:
     return ",".join(str(first.setdefault(v, len(first))) for v in values), values
 
 
-def _found(text: str, widths: Iterable[int], bitmap: np.ndarray | None, codes: Codes
+def _found(text: str, widths: Iterable[int], bitmap: np.ndarray | None, chunks: Chunks
            ) -> Iterator[tuple[int, int, int, str, list[str]]]:
-    found, stay, kinds, hashes = template(text, codes)
+    numbers, kinds, hashes = template(text, chunks)
     for width in widths:
         total, enough = windows(hashes, kinds, width)
         if bitmap is not None:
             cell = total >> np.uint64(64 - BITMAP_BITS)
             enough &= (bitmap[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
         for i in np.flatnonzero(enough):
-            tokens = [found[k] for k in stay[i:i + width]]
+            tokens = [chunks.words[k] for k in numbers[i:i + width]]
             pattern, values = slots_of(tokens, kinds[i:i + width])
             yield int(i), width, int(total[i].astype(np.int64)), pattern, values
 
@@ -129,28 +161,34 @@ def _window_pass(df: DataFrame, keys: str, widths: list[int], bitmap: np.ndarray
     """Windows of the last column's texts, with the columns before it."""
     names = [k.split()[0] for k in keys.split(", ")]
 
+    def found_rows(part: pa.RecordBatch, owner: list[int], hits: list[tuple]) -> pa.RecordBatch:
+        at = pa.array(owner)
+        pos, width, total, pattern, values = zip(*hits)
+        return pa.RecordBatch.from_arrays(
+            [*(c.take(at) for c in part.columns[:-1]),  # never the text, once for each hit
+             pa.array(pos, pa.int32()), pa.array(width, pa.int32()), pa.array(total, pa.int64()),
+             pa.array(pattern, pa.string()), pa.array(values, pa.list_(pa.string()))],
+            names=[*names, "pos", "width", "hash", "pattern", "slots"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
+        chunks = Chunks()
         for batch in batches:
             for part in pieces(batch):
-                owner, out = [], []
+                owner, hits = [], []
                 for row, text in enumerate(part.column(part.num_columns - 1)):
                     text = text.as_py() or ""
                     own = widths
                     if whole_short:
-                        n = len(template(text, codes)[1])
+                        n = len(template(text, chunks)[1])
                         own = [min(n, WINDOW)] if n >= SHORTEST else []
-                    for hit in _found(text, own, bitmap, codes):
+                    for hit in _found(text, own, bitmap, chunks):
                         owner.append(row)
-                        out.append(hit)
-                if out:
-                    rows = part.take(pa.array(owner))
-                    pos, width, total, pattern, values = zip(*out)
-                    yield pa.RecordBatch.from_arrays(
-                        [*rows.columns[:-1], pa.array(pos, pa.int32()),
-                         pa.array(width, pa.int32()), pa.array(total, pa.int64()),
-                         pa.array(pattern, pa.string()), pa.array(values, pa.list_(pa.string()))],
-                        names=[*names, "pos", "width", "hash", "pattern", "slots"])
+                        hits.append(hit)
+                        if len(hits) == HITS:
+                            yield found_rows(part, owner, hits)
+                            owner, hits = [], []
+                if hits:
+                    yield found_rows(part, owner, hits)
 
     return df.mapInArrow(run, f"{keys}, {SCHEMA}")
 
@@ -232,6 +270,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_
     """The rows of `docs` in which no benchmark item was found, with all their columns."""
     found = materialize(contaminated(docs, benchmark, min_windows).select("row_key").distinct(),
                         "contaminated")
-    return (docs.withColumn("_row_key", row_key())
-            .join(found.withColumnRenamed("row_key", "_row_key"), "_row_key", "left_anti")
-            .drop("_row_key"))
+    return (docs.select(row_key().alias("row_key"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+            .join(found, "row_key", "left_anti").select("row.*"))
