@@ -139,16 +139,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
     choice is free.  Texts that occur once are not shuffled when the repeated fingerprints
     are few; they are never grouped.
     """
-    source = docs.withColumn("_fp", fingerprint())
-    suspects = materialize(
-        repeated_fingerprints(source.select(F.col("_fp").alias("fp"))), "suspects")
-    hit = suspects.select(F.col("fp").alias("_fp"))
-    single = source.join(hit, "_fp", "left_anti").drop("_fp")
-    columns = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_order"),
-                       *[F.col(f"`{c}`") for c in docs.columns])
-    # max over the whole row: its first field decides, the others break ties.
-    staying = (source.join(hit, "_fp", "left_semi")
-               .withColumn("_norm", F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER))
-               .groupBy("_norm").agg(F.max(columns).alias("_row"))
-               .select(*[F.col(f"_row.`{c}`") for c in docs.columns]))
-    return single.unionByName(staying)
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         fingerprint().alias("fp"))
+    suspects = materialize(repeated_fingerprints(source), "suspects").select("fp")
+    single = source.join(suspects, "fp", "left_anti")
+    staying = (source.join(suspects, "fp", "left_semi")
+               .groupBy(F.translate(F.coalesce("row.text", F.lit("")), UPPER, LOWER).alias("norm"))
+               .agg(F.max_by("row", F.struct(F.col("row.doc_id").isNotNull(),
+                                             F.col("row.doc_id").cast("long"))).alias("row")))
+    return single.select("row.*").unionAll(staying.select("row.*"))

@@ -27,6 +27,7 @@ TRIGRAM_SCALE = 30.0
 FORM_SCALE = 3.0
 SAMPLE_ROWS = 3_000             # most labelled rows the regression is fitted on
 EPOCHS = 120
+KEEP_SHARE = 0.3                # a document goes when its tail probability is below this
 CHUNK = 1 << 20
 
 
@@ -159,25 +160,31 @@ def train(docs: DataFrame, ratings: DataFrame, top: int = 2,
     return fit(rows, np.array([r["grade"] for r in got], np.int64), top)
 
 
-def score(docs: DataFrame, model: Ordinal, minimum: int = 1, share: float = 0.5,
-          keep_columns: bool = False) -> DataFrame:
-    """doc_id of each row of `docs`, or all its columns, with expected_grade,
-    tail_probability and selected.
+def _judge(model: Ordinal, minimum: int, share: float) -> Column:
+    @F.pandas_udf("expected_grade double, tail_probability double, selected boolean")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        tails = model.tails(np.array([model.score(t) for t in texts], np.float64))
+        own = tails[:, minimum - 1]
+        return pd.DataFrame({"expected_grade": tails.sum(axis=1), "tail_probability": own,
+                             "selected": own >= share})
+
+    return judge(text_bytes())
+
+
+def score(docs: DataFrame, model: Ordinal, minimum: int = 1, share: float = KEEP_SHARE) -> DataFrame:
+    """One row per row of `docs`: doc_id, expected_grade, tail_probability, selected.
 
     A row is selected if P(grade >= minimum) >= share.  Null texts count as empty; empty ones
-    are scored by their form.  Repeated rows and null ids come out as they come in; columns
-    of `docs` named like a result are replaced by it; an empty table gives no rows.
+    are scored by their form.  Repeated rows and null ids come out as they come in; other
+    columns are ignored; an empty table gives no rows.
     """
-    made = ("expected_grade", "tail_probability", "selected")
-    names = [c for c in docs.columns if c not in made] if keep_columns else ["doc_id"]
+    return docs.select("doc_id", _judge(model, minimum, share).alias("judged")).select(
+        "doc_id", "judged.*")
 
-    @F.pandas_udf("expected_grade double, tail_probability double, selected boolean")
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        scores = np.array([model.score(t) for t in texts], np.float64)
-        tails = model.tails(scores)
-        own = tails[:, minimum - 1]
-        return pd.DataFrame(dict(zip(made, (tails.sum(axis=1), own, own >= share))))
 
-    own = [F.col(f"`{c}`") for c in names]
-    return docs.select(*own, judge(text_bytes()).alias("_judged")).select(
-        *own, *[F.col(f"_judged.{c}").alias(c) for c in made])
+def select_good(docs: DataFrame, model: Ordinal, minimum: int = 1, share: float = KEEP_SHARE
+                ) -> DataFrame:
+    """The rows of `docs` that `score` would select, with all their columns."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       _judge(model, minimum, share).alias("judged"))
+    return rows.where("judged.selected").select("row.*")

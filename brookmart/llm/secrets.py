@@ -83,7 +83,7 @@ def shape(token: str) -> int:
         if token.isupper():
             return 2
         return 1 if token[1:].islower() else 7
-    if all(c in "0123456789abcdef" for c in token):
+    if all(c in "0123456789abcdefABCDEF" for c in token):
         return 4
     return 5 if token.islower() else 6 if token.isupper() else 8
 
@@ -181,7 +181,7 @@ class Field:
 FORBIDDEN = -1e4
 
 
-def fit(cols: np.ndarray, tags: np.ndarray, epochs: int = 40, rate: float = 0.2,
+def fit(cols: np.ndarray, tags: np.ndarray, epochs: int = 80, rate: float = 0.2,
         decay: float = 1e-3) -> Field:
     """Conditional maximum likelihood over segments `cols[n, SEGMENT, 5]`, `tags[n, SEGMENT]`
     (-1 after a segment's end), by Adam on forward-backward gradients.
