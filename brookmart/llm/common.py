@@ -20,16 +20,22 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+# Set only where the session has no value of its own: Arrow batches are cut by bytes, so that
+# workers hold a few megabytes of text however long the texts are.
+DEFAULTS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this library to the executors, once for each application.
+def prepare(spark: SparkSession) -> None:
+    """Set the defaults, and send this library to the executors once for each application.
 
     Tasks unpickle functions by module name, and workers need not have the library's folder
     on their path.
     """
     context = spark.sparkContext
+    for key, value in DEFAULTS.items():
+        if context.getConf().get(key) is None:
+            spark.conf.set(key, value)
     if context.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

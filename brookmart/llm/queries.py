@@ -9,20 +9,15 @@ from pyspark.sql import functions as F
 
 from brookmart.llm import (decontamination, exact_dedup, licenses, packing, quality, secrets,
                            sharding, simhash, tokens, toxicity)
-from brookmart.llm.common import read, ship
+from brookmart.llm.common import prepare, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-# Set only where the session has no value of its own: a batch of long texts is cut by bytes.
-DEFAULTS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20)}
 
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key, value in DEFAULTS.items():
-            if spark.sparkContext.getConf().get(key) is None:
-                spark.conf.set(key, value)
-        ship(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     run.__doc__ = fn.__doc__
