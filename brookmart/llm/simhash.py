@@ -162,19 +162,19 @@ def forest(ids: np.ndarray, prints: np.ndarray, threshold: int) -> tuple[np.ndar
     return np.concatenate(a or [none]), np.concatenate(b or [none])
 
 
-def compare(anchor: np.ndarray, ids: np.ndarray, prints: np.ndarray, threshold: int
-            ) -> tuple[np.ndarray, np.ndarray]:
+def compare(anchor: np.ndarray, ids: np.ndarray, prints: np.ndarray, threshold: int,
+            pairwise: int = PAIRWISE) -> tuple[np.ndarray, np.ndarray]:
     """Links within the groups of equal neighbouring anchors."""
     starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     sizes = np.diff(np.r_[starts, len(anchor)])
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for s, n in zip(starts[sizes > PAIRWISE], sizes[sizes > PAIRWISE]):
+    for s, n in zip(starts[sizes > pairwise], sizes[sizes > pairwise]):
         x, y = forest(ids[s:s + n], prints[s:s + n], threshold)
         a.append(x)
         b.append(y)
     end = np.repeat(starts + sizes, sizes)
-    at = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= PAIRWISE), sizes))
-    for step in range(1, PAIRWISE):
+    at = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= pairwise), sizes))
+    for step in range(1, pairwise):
         at = at[at + step < end[at]]
         if not len(at):
             break
@@ -184,7 +184,7 @@ def compare(anchor: np.ndarray, ids: np.ndarray, prints: np.ndarray, threshold:
     return np.concatenate(a), np.concatenate(b)
 
 
-def _compare_stream(threshold: int, block: int):
+def _compare_stream(threshold: int, block: int, pairwise: int):
     """Sorted (anchor, id, fp) -> links (hot false, a, b); groups over `block` members come
     out as members (hot true, a = anchor, b = id, fp, part) instead."""
     schema = pa.schema([("hot", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()),
@@ -196,7 +196,7 @@ def _compare_stream(threshold: int, block: int):
                                           schema=schema)
 
     def links(anchor, ids, fp) -> pa.RecordBatch:
-        a, b = compare(anchor, ids, fp.view(np.uint64), threshold)
+        a, b = compare(anchor, ids, fp.view(np.uint64), threshold, pairwise)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         zero = np.zeros(len(pairs), np.int64)
         return rows(False, pairs[:, 0].copy(), pairs[:, 1].copy(), zero, zero)
@@ -232,16 +232,18 @@ def _compare_stream(threshold: int, block: int):
     return run
 
 
-def hamming_links(prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def hamming_links(prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK,
+                  pairwise: int = PAIRWISE) -> DataFrame:
     """`prints(id, salt, fp)` -> distinct links `(a, b)`, a < b: ids that share a salt and
-    differ in at most `threshold` bits there.  In groups over PAIRWISE members at an anchor
-    the links are a spanning forest, which reaches the same components.
+    differ in at most `threshold` bits there.  In groups over `pairwise` members at an anchor
+    the links are a spanning forest, which reaches the same components.  Up to four bits all
+    pairs are found; with a higher threshold those of them that meet at an anchor.
     """
     sent = arrow_pass(prints.select("id", "salt", "fp"), _replicate,
                       "anchor long, id long, fp long")
     found = materialize(
         sent.repartition("anchor").sortWithinPartitions("anchor", "id")
-        .mapInArrow(_compare_stream(threshold, block),
+        .mapInArrow(_compare_stream(threshold, block, pairwise),
                     "hot boolean, a long, b long, fp long, part long"), "anchor-links")
     plain = found.where("not hot").select("a", "b")
     members = found.where("hot").select(F.col("a").alias("anchor"), F.col("b").alias("id"),
@@ -249,8 +251,8 @@ def hamming_links(prints: DataFrame, threshold: int = THRESHOLD, block: int = BL
     parts = members.groupBy("anchor").agg(F.max("part").alias("last"))
     paired = (members.join(parts, "anchor").withColumn("other", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("last"))))
-        .select("anchor", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"),
-                "id", "fp"))
+        .select("anchor", F.least("part", "other").alias("x"),
+                F.greatest("part", "other").alias("y"), "id", "fp"))
 
     def meet(table: pa.Table) -> pa.Table:
         a, b = forest(table["id"].to_numpy(), table["fp"].to_numpy().view(np.uint64), threshold)
@@ -273,6 +275,8 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     Repeated rows come out as often as they come in; other columns are ignored; an empty
     table gives no rows.
     """
+    if threshold > THRESHOLD:
+        raise ValueError(f"only up to {THRESHOLD} bits all pairs are sure to be found")
     own = materialize(fingerprints(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")),
         shingle_fingerprint, "doc_id", "doc_id long").drop("salt"), "fingerprints")
@@ -292,7 +296,9 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 SIMILARITY_SHINGLE = 5
 SIMILARITY = 0.8
-FINGERPRINTS = 4
+FINGERPRINTS = 2
+CANDIDATE_BITS = 10
+CANDIDATE_PAIRWISE = 8
 
 
 def word_fingerprints(data: bytes) -> list[int]:
@@ -302,36 +308,41 @@ def word_fingerprints(data: bytes) -> list[int]:
 
 
 def shingle_hashes(data: bytes) -> np.ndarray:
+    """The set of a text's five-word shingles as 32-bit hashes, which halves what is shuffled;
+    sets of n shingles share n * n / 2**32 of them by chance."""
     own = shingles(data, SIMILARITY_SHINGLE)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in own), np.uint64,
-                                 len(own))).view(np.int64)
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(s, SEED) for s in own), np.uint32,
+                                 len(own))).view(np.int32)
 
 
 def _shingle_sets(batch: pa.RecordBatch) -> dict:
     return {"node": batch.column(0),
             "own": pa.array([shingle_hashes(t) for t in batch.column(1).to_pylist()],
-                            pa.list_(pa.int64()))}
+                            pa.list_(pa.int32()))}
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY,
-                         threshold: int = THRESHOLD) -> DataFrame:
+                         threshold: int = CANDIDATE_BITS) -> DataFrame:
     """The rows of `docs` without near copies, with all their columns.
 
-    Candidates share one of `FINGERPRINTS` word SimHashes up to `threshold` bits; they link if
-    the Jaccard similarity of their five-word shingles is at least `similarity`.  Of each
-    connected group the row with the smallest doc_id stays (null ids last, then by key).
+    Candidates meet at an anchor of one of `FINGERPRINTS` word SimHashes, as all do that differ
+    in four bits or fewer, and differ there in at most `threshold`; they link if the Jaccard
+    similarity of their five-word shingles is at least `similarity`.  Of each connected group
+    the row with the smallest doc_id stays (null ids last, then by key).
+
     Full copies of a row count as one node and all go or stay; texts without words have no
     candidates and stay.  An empty table gives no rows.
     """
     keyed = docs.select(row_key().alias("id"), F.col("doc_id").cast("long").alias("doc_id"),
                         text_bytes().alias("text"))
     prints = fingerprints(keyed, word_fingerprints, "id", "id long")
-    candidates = materialize(hamming_links(prints, threshold), "candidates")
+    candidates = materialize(hamming_links(prints, threshold, pairwise=CANDIDATE_PAIRWISE),
+                             "candidates")
     nodes = materialize(candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct(),
                         "candidate-nodes")
     members = keyed.join(nodes, "id", "left_semi").dropDuplicates(["id"])
     sets = materialize(arrow_pass(members.select(F.col("id").alias("node"), "text"), _shingle_sets,
-                                  "node long, own array<long>"), "shingle-sets")
+                                  "node long, own array<int>"), "shingle-sets")
     both = (candidates.join(sets.select(F.col("node").alias("a"), F.col("own").alias("one")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("own").alias("two")), "b")
             .withColumn("shared", F.size(F.array_intersect("one", "two"))))
@@ -344,5 +355,7 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY,
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
     stays = named.groupBy("root").agg(F.min_by("id", order).alias("stays"))
     gone = materialize(named.join(stays, "root").where("id <> stays").select(
-        F.col("id").alias("_key")).distinct(), "near-copies")
-    return (docs.withColumn("_key", row_key()).join(gone, "_key", "left_anti").drop("_key"))
+        "id").distinct(), "near-copies")
+    return (docs.select(row_key().alias("id"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+            .join(gone, "id", "left_anti").select("row.*"))
