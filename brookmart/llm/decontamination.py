@@ -149,7 +149,8 @@ def _found(text: str, widths: Iterable[int], bitmap: np.ndarray | None, chunks:
         total, enough = windows(hashes, kinds, width)
         if bitmap is not None:
             cell = total >> np.uint64(64 - BITMAP_BITS)
-            enough &= (bitmap[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            bit = (cell & np.uint64(7)).astype(np.uint8)
+            enough &= (bitmap[cell >> np.uint64(3)] >> bit) & 1 > 0
         for i in np.flatnonzero(enough):
             tokens = [chunks.words[k] for k in numbers[i:i + width]]
             pattern, values = slots_of(tokens, kinds[i:i + width])

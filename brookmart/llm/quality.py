@@ -61,7 +61,8 @@ def features(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     slots = np.flatnonzero(counts)
     values = counts[slots] * (TRIGRAM_SCALE / max(counts.sum(), 1))
     own = forms(data)
-    return np.r_[slots, own].astype(np.int32), np.r_[values, np.full(len(own), FORM_SCALE)].astype(np.float32)
+    return (np.r_[slots, own].astype(np.int32),
+            np.r_[values, np.full(len(own), FORM_SCALE)].astype(np.float32))
 
 
 @dataclass
@@ -171,7 +172,8 @@ def _judge(model: Ordinal, minimum: int, share: float) -> Column:
     return judge(text_bytes())
 
 
-def score(docs: DataFrame, model: Ordinal, minimum: int = 1, share: float = KEEP_SHARE) -> DataFrame:
+def score(docs: DataFrame, model: Ordinal, minimum: int = 1, share: float = KEEP_SHARE
+          ) -> DataFrame:
     """One row per row of `docs`: doc_id, expected_grade, tail_probability, selected.
 
     A row is selected if P(grade >= minimum) >= share.  Null texts count as empty; empty ones
