@@ -81,15 +81,17 @@ def topic_rows(routed: DataFrame) -> DataFrame:
 def dim_rows(routed: DataFrame) -> DataFrame:
     """Dimension upserts: table, primary key values and all columns as text.
 
-    The key is taken from the record before pruning, so it need not be a kept column.
+    The key is taken from the record before pruning (`whole`), if that is there, so it need
+    not be a kept column.
 
     The key columns default to `id`; a composite key is a comma list.
     """
     data = F.from_json("data", "map<string,string>")
+    before = "whole" if "whole" in routed.columns else "data"
     key_names = F.transform(F.split(F.coalesce("sink_pk", F.lit("id")), ","), F.trim)
     return (routed.where(F.col("route") == "dim")
+                  .withColumn("whole", F.from_json(before, "map<string,string>"))
                   .withColumn("data", data)
-                  .withColumn("whole", F.from_json("whole", "map<string,string>"))
                   .select("sink_table",
                           F.transform(key_names, lambda k: F.col("whole")[k]).alias("pk"),
                           "data", *CHANGE_ORDER))

@@ -69,6 +69,13 @@ def write_by_topic(df: DataFrame, job: str, store: TopicStore, checkpoint: str,
     return start(writer.outputMode("append"), checkpoint, trigger, job)
 
 
+def create_topic(spark: SparkSession, topic: str, job: str, store: TopicStore) -> None:
+    """Make an empty part of a topic, if topics are files, so that readers find its folders."""
+    if store.kind != "kafka":
+        (spark.createDataFrame([], "value string").coalesce(1).write.mode("overwrite")
+              .text(f"{store.location}/{job}/topic={topic}/run=none/batch_id=0"))
+
+
 def write_batch_by_topic(batch: DataFrame, batch_id: int, job: str, store: TopicStore) -> None:
     """`write_by_topic` for use inside a micro-batch function.
 

@@ -23,8 +23,8 @@ from brookmart.operators import metrics as M
 from brookmart.operators.enrich import DIM_COLUMNS, enrich_product
 from brookmart.plans import orders, stats
 from brookmart.sinks.tables import store_config, upsert_dim, write_batch, write_stats
-from brookmart.sinks.topics import (TRIGGER, start, write_batch_by_topic, write_by_topic,
-                                    write_topic)
+from brookmart.sinks.topics import (TRIGGER, create_topic, start, write_batch_by_topic,
+                                    write_by_topic, write_topic)
 from brookmart.sources.tables import read_config, read_dim
 from brookmart.sources.topics import TopicStore, read_ods_log, read_topic, typed
 from brookmart.streaming import stateful
@@ -206,6 +206,7 @@ def enrich_to_topic(site: Site, facts: DataFrame, topic: str, dims: Dims,
         finally:
             batch.unpersist()
 
+    create_topic(site.spark, topic, f"{topic}_job", site.topics)  # readers may start meanwhile
     return start(facts.writeStream.foreachBatch(write), site.checkpoint(topic), site.trigger,
                  topic)
 

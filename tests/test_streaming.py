@@ -350,7 +350,7 @@ def test_records_keep_all_their_fields(spark, site):
         assert own and all(r["err"] == {"code": 5} and r["common"]["os"] == "ios" for r in own)
 
 
-def change(table, xid, data, kind="insert"):
+def change_text(table, xid, data, kind="insert"):
     return json.dumps({"database": "shop", "table": table, "type": kind, "ts": 1, "xid": xid,
                        "xoffset": 0, "data": data})
 
@@ -368,8 +368,8 @@ def test_dimensions_stay_live(spark, site, tmp_path):
     spark.createDataFrame(
         [(t, "insert", "hbase", f"dim_{t}", ",".join(names.get(t, {"id": 0, **sku})), "id", None)
          for t in tables], S.CONFIG).write.parquet(config)
-    put(site, S.ODS_DB, [change(t, 1, row) for t, row in names.items()]
-        + [change("sku_info", 2, {"id": 10, **sku})])
+    put(site, S.ODS_DB, [change_text(t, 1, row) for t, row in names.items()]
+        + [change_text("sku_info", 2, {"id": 10, **sku})])
     jobs.changelog_job(site, config).awaitTermination(120)
     at = '"create_time":"2024-01-0%d 00:00:00"'
 
@@ -388,7 +388,7 @@ def test_dimensions_stay_live(spark, site, tmp_path):
     assert run() == [(1, "n")]
     missing = spark.read.parquet(f"{site.tables}/unmatched/{S.DWM_ORDER_WIDE}")
     assert [json.loads(r.value)["sku_id"] for r in missing.collect()] == [11]
-    put(site, S.ODS_DB, [change("sku_info", 3, {"id": 11, **sku, "sku_name": "new"})], "part-9")
+    put(site, S.ODS_DB, [change_text("sku_info", 3, {"id": 11, **sku, "sku_name": "new"})], "part-9")
     jobs.changelog_job(site, config).awaitTermination(120)
     order("part-2", 3, 11)
     assert run() == [(1, "n"), (3, "new")]
@@ -419,7 +419,7 @@ def test_dimension_store(spark, tmp_path):
 
 def test_key_outside_the_kept_columns(spark):
     config = spark.createDataFrame([("t", "insert", "hbase", "dim_t", "name", "id", None)], S.CONFIG)
-    text = spark.createDataFrame([(change("t", i, {"id": i, "name": "n"}),) for i in range(3)],
+    text = spark.createDataFrame([(change_text("t", i, {"id": i, "name": "n"}),) for i in range(3)],
                                  "value string")
     routed = C.route_by_sink(C.prune_columns(C.join_config(C.changelog_etl(text), config)))
     assert rows(C.dim_rows(routed).select(F.col("pk")[0], F.map_keys("data")[0])) == [
@@ -504,11 +504,11 @@ def test_configuration_changes_routing(spark, site, tmp_path):
                         config).awaitTermination(120)
 
     set_sink(1, "kafka", S.DWD_CART_INFO)
-    put(site, S.ODS_DB, [change("t", 1, {"id": 1})], "part-1")
+    put(site, S.ODS_DB, [change_text("t", 1, {"id": 1})], "part-1")
     jobs.changelog_job(site, config).awaitTermination(120)
     set_sink(2, "kafka", S.DWD_FAVOR_INFO)
     set_sink(0, "kafka", S.DWD_COMMENT_INFO)  # an older change comes late
-    put(site, S.ODS_DB, [change("t", 2, {"id": 2})], "part-2")
+    put(site, S.ODS_DB, [change_text("t", 2, {"id": 2})], "part-2")
     jobs.changelog_job(site, config).awaitTermination(120)
     assert stored(spark, site, S.DWD_CART_INFO) == [{"id": 1}]
     assert stored(spark, site, S.DWD_FAVOR_INFO) == [{"id": 2}]
