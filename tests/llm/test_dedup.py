@@ -194,3 +194,29 @@ def test_near_copies_of_awkward_rows(spark):
     ids = Counter(r.doc_id for r in got)
     assert ids[7] == 0 and ids[6] == 1  # the two long ones differ by a word
     assert S.drop_near_duplicates(empty(spark)).collect() == []
+
+
+def grams(text):
+    words = lower(text).split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def check_by_brute_force(spark, texts, block=1024):
+    """One row stays of each component of the Jaccard graph."""
+    sets = [grams(t) for t in texts]
+    root = roots(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    want = Counter(root.index(r) for r in set(root))
+    got = S.drop_near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), block=block)
+    assert Counter(r.doc_id for r in got.collect()) == want
+    return len(want)
+
+
+def test_copies_with_an_added_block_by_brute_force(spark):
+    """A header, a footer or a paragraph of a fifth of the text."""
+    texts = []
+    for k, (n, more) in enumerate([(300, 60), (100, 20), (200, 35), (60, 10)] * 8):
+        words, added = prose(3000 + k, n), prose(4000 + k, more)
+        at = (0, n // 2, n)[k % 3]
+        texts += [" ".join(words), " ".join(words[:at] + added + words[at:])]
+    assert check_by_brute_force(spark, texts) < len(texts)
