@@ -220,3 +220,17 @@ def test_copies_with_an_added_block_by_brute_force(spark):
         at = (0, n // 2, n)[k % 3]
         texts += [" ".join(words), " ".join(words[:at] + added + words[at:])]
     assert check_by_brute_force(spark, texts) < len(texts)
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_a_family_of_edited_copies_by_brute_force(spark, block):
+    """120 texts, all less similar to their base than 0.8 and in pairs more; small blocks cut
+    the groups."""
+    rng = random.Random(21)
+    base, texts = prose(5000, 300), []
+    for pair in range(60):
+        own = list(base)
+        for i in rng.sample(range(300), rng.randrange(9, 14)):
+            own[i] = f"p{pair}x{i}"
+        texts += [" ".join(own), " ".join(own + [f"end{pair}"])]
+    assert check_by_brute_force(spark, texts, block) <= 60
