@@ -17,7 +17,7 @@ from brookmart.llm import tokens as K
 from brookmart.llm.oracle import ORACLES
 from brookmart.llm.queries import QUERIES
 from tests.conftest import SF
-from tests.llm.data import awkward, awkward_rows, empty, lower, prose
+from tests.llm.data import awkward, awkward_rows, empty, lower, prose, roots
 
 
 # ---- shards -----------------------------------------------------------------------------
@@ -336,6 +336,32 @@ def test_pipeline_stages(spark):
                   P.CAPACITIES)
 
 
+def test_near_dedup_keeps_one_of_each_component(spark):
+    """Both ways: no row goes without a near copy, and no two near copies stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    own = [(i, lower(t).split()) for i, t in rows if lower(t).split()][:40]
+    rows += [(10**6 + i, " ".join(w + prose(i, len(w) // 6))) for i, w in own]
+    base = prose(77, 200)
+    for copy in range(30):
+        rows.append((2 * 10**6 + copy, " ".join(
+            f"c{copy}w{i}" if i % 20 == copy % 20 and i < 20 * (copy % 7) else w
+            for i, w in enumerate(base))))
+    sets = []
+    for _, t in rows:
+        w = lower(t).split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = roots(range(len(rows)), lambda i, j: bool(sets[i]) and len(sets[i] & sets[j]) >= 0.8 * (
+        len(sets[i]) + len(sets[j]) - len(sets[i] & sets[j])))
+    want = {}
+    for (doc_id, _), r in zip(rows, root):
+        want[r] = min(doc_id, want.get(r, doc_id))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.STAGES[2][1](spark, frame, SF).collect()
+    assert Counter(r.doc_id for r in got) == Counter(want.values())
+    assert len(want) < len(rows)
+
+
 def test_pipeline_stages_on_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), SF).collect() == []
