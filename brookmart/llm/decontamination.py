@@ -7,6 +7,11 @@ in the document and different ones differ, in the window and over the whole alig
 document and item.  So a question with other numbers or names is caught, and a text that only
 has the same shape is not.
 
+Which words are names is not certain, so each text has three templates (`FORMS`), and a
+finding under one of them is enough: names are the capitalised words inside sentences; or
+none, which bears copies in other cases and with other line breaks; or all capitalised words,
+which bears other names at the start of sentences.
+
 Before the join a bitmap of fixed size, made from the benchmark's window hashes, sorts out
 nearly all document windows inside the pass that reads the text; the join itself settles the
 rest, so a full bitmap costs time and never a result.
@@ -26,7 +31,7 @@ from pyspark.sql import functions as F
 from brookmart.llm.common import materialize, pieces, row_key
 
 WINDOW = 8          # template tokens in a window
-SHORTEST = 4        # items with fewer tokens are too common to look for
+SHORTEST = 4        # items with fewer tokens are too common to look for with other values
 MIN_WINDOWS = 3     # windows of an item that must be found, or all it has
 BITMAP_BITS = 23    # the filter takes 2**BITMAP_BITS bits, whatever the benchmark's size
 SLICE_BITS = 16
@@ -45,13 +50,14 @@ UNITS = frozenset("""
 
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?]")
 LITERAL, NUMBER, UNIT, CAPITAL, END = range(5)
+FORMS = INSIDE, NO_NAMES, ANYWHERE = range(3)   # which capitalised words are names
 BASE = 0x9E3779B97F4A7C15
-SCHEMA = "pos int, width int, hash long, pattern string, slots array<string>"
+SCHEMA = "form int, pos int, width int, hash long, pattern string, slots array<string>"
 
 
 def classify(token: str) -> tuple[int, str]:
     """A token's kind, as far as it tells by itself, and its lower-case word."""
-    low = token.lower()
+    low = token.casefold()
     if token in ".!?":
         return END, token
     if token[0].isdigit():
@@ -98,11 +104,11 @@ class Chunks(dict):
         return number
 
 
-def template(text: str, chunks: Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """`(numbers of the template's tokens among the chunks' words, their kinds, hashes)`.
+def template(text: str, chunks: Chunks) -> tuple[np.ndarray, list[np.ndarray]]:
+    """`(numbers of the template's tokens among the chunks' words, their kinds by form)`.
 
-    A unit counts only after a number, a name is a capitalised word that does not begin a
-    sentence; a line feed ends one.
+    A unit counts only after a number.  Inside sentences a name is a capitalised word that does
+    not begin one; a line feed ends a sentence.
     """
     if len(chunks) > CACHE:
         chunks.reset()
@@ -114,11 +120,12 @@ def template(text: str, chunks: Chunks) -> tuple[np.ndarray, np.ndarray, np.ndar
     tokens += np.arange(len(tokens))
     kinds = chunks.kind[tokens]
     before = np.r_[np.int8(END), kinds[:-1]]
-    kinds[(kinds == CAPITAL) & (before == END)] = LITERAL
     kinds[(kinds == UNIT) & (before != NUMBER)] = LITERAL
     stay = kinds != END
-    tokens, kinds = tokens[stay], kinds[stay]
-    return tokens, kinds, np.where(kinds == LITERAL, chunks.hash[tokens], kinds.astype(np.uint64))
+    tokens, kinds, begins = tokens[stay], kinds[stay], before[stay] == END
+    capital = kinds == CAPITAL
+    return tokens, [np.where(capital & begins, np.int8(LITERAL), kinds),
+                    np.where(capital, np.int8(LITERAL), kinds), kinds]
 
 
 def windows(hashes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,24 +144,39 @@ def windows(hashes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.ndarr
 
 def slots_of(tokens: list[str], kinds: np.ndarray) -> tuple[str, list[str]]:
     """Which slots of a window are equal, and their typed values."""
-    values = [f"{kinds[i]}:{tokens[i].lower()}" for i in np.flatnonzero(kinds != LITERAL)]
+    values = [f"{kinds[i]}:{tokens[i].casefold()}" for i in np.flatnonzero(kinds != LITERAL)]
     first: dict[str, int] = {}
     return ",".join(str(first.setdefault(v, len(first))) for v in values), values
 
 
 def _found(text: str, widths: Iterable[int], bitmap: np.ndarray | None, chunks: Chunks
-           ) -> Iterator[tuple[int, int, int, str, list[str]]]:
-    numbers, kinds, hashes = template(text, chunks)
-    for width in widths:
-        total, enough = windows(hashes, kinds, width)
-        if bitmap is not None:
-            cell = total >> np.uint64(64 - BITMAP_BITS)
-            bit = (cell & np.uint64(7)).astype(np.uint8)
-            enough &= (bitmap[cell >> np.uint64(3)] >> bit) & 1 > 0
-        for i in np.flatnonzero(enough):
-            tokens = [chunks.words[k] for k in numbers[i:i + width]]
-            pattern, values = slots_of(tokens, kinds[i:i + width])
-            yield int(i), width, int(total[i].astype(np.int64)), pattern, values
+           ) -> Iterator[tuple[int, int, int, int, str, list[str]]]:
+    """Windows with more slots than words, and those of items under SHORTEST tokens, count
+    without names only, by their values: their pattern is `=` and they have no slots."""
+    numbers, forms = template(text, chunks)
+    plain = chunks.hash[numbers]
+    for form, kinds in zip(FORMS, forms):
+        hashes = np.where(kinds == LITERAL, plain, kinds.astype(np.uint64))
+        for width in widths:
+            if width < SHORTEST and form != NO_NAMES:
+                continue
+            total, enough = windows(hashes, kinds, width)
+            by_value = np.zeros(len(total), bool)
+            if form == NO_NAMES:
+                by_value = ~enough if width >= SHORTEST else ~by_value
+                if by_value.any():
+                    total = np.where(by_value, windows(plain, kinds, width)[0], total)
+                enough = enough | by_value
+            if bitmap is not None:
+                cell = total >> np.uint64(64 - BITMAP_BITS)
+                bit = (cell & np.uint64(7)).astype(np.uint8)
+                enough &= (bitmap[cell >> np.uint64(3)] >> bit) & 1 > 0
+            for i in np.flatnonzero(enough):
+                pattern, values = "=", []
+                if not by_value[i]:
+                    tokens = [chunks.words[k] for k in numbers[i:i + width]]
+                    pattern, values = slots_of(tokens, kinds[i:i + width])
+                yield form, int(i), width, int(total[i].astype(np.int64)), pattern, values
 
 
 def _window_pass(df: DataFrame, keys: str, widths: list[int], bitmap: np.ndarray | None,
@@ -164,12 +186,12 @@ def _window_pass(df: DataFrame, keys: str, widths: list[int], bitmap: np.ndarray
 
     def found_rows(part: pa.RecordBatch, owner: list[int], hits: list[tuple]) -> pa.RecordBatch:
         at = pa.array(owner)
-        pos, width, total, pattern, values = zip(*hits)
+        form, pos, width, total, pattern, values = zip(*hits)
         return pa.RecordBatch.from_arrays(
             [*(c.take(at) for c in part.columns[:-1]),  # never the text, once for each hit
-             pa.array(pos, pa.int32()), pa.array(width, pa.int32()), pa.array(total, pa.int64()),
-             pa.array(pattern, pa.string()), pa.array(values, pa.list_(pa.string()))],
-            names=[*names, "pos", "width", "hash", "pattern", "slots"])
+             pa.array(form, pa.int32()), pa.array(pos, pa.int32()), pa.array(width, pa.int32()),
+             pa.array(total, pa.int64()), pa.array(pattern, pa.string()), pa.array(values, pa.list_(pa.string()))],
+            names=[*names, "form", "pos", "width", "hash", "pattern", "slots"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = Chunks()
@@ -180,8 +202,8 @@ def _window_pass(df: DataFrame, keys: str, widths: list[int], bitmap: np.ndarray
                     text = text.as_py() or ""
                     own = widths
                     if whole_short:
-                        n = len(template(text, chunks)[1])
-                        own = [min(n, WINDOW)] if n >= SHORTEST else []
+                        n = len(template(text, chunks)[0])
+                        own = [min(n, WINDOW)] if n > 1 else []
                     for hit in _found(text, own, bitmap, chunks):
                         owner.append(row)
                         hits.append(hit)
@@ -230,12 +252,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_W
     """Rows and the benchmark items they hold: doc_id, row_key, item_id, n_windows,
     item_windows, verbatim.
 
-    `n_windows` is the most windows of the item found in one alignment; all of them, or
-    `min_windows`, make a finding.  `verbatim` tells whether the slots' values are the
-    item's own.  Items of fewer than SHORTEST tokens and null texts are never found; items
-    shorter than a window are looked for whole; windows with more slots than words do not
-    count.  Repeated rows share a row_key and give one
-    finding; empty tables give none; other columns are ignored.
+    `n_windows` is the most windows of the item found in one alignment under one of the FORMS;
+    all of them, or `min_windows`, make a finding.  `verbatim` tells whether the slots' values
+    are the item's own, under every form.  Items of one token and null texts are never found;
+    items shorter than a window are looked for whole, those under SHORTEST tokens and windows
+    with more slots than words with their own values only.  Repeated rows share a row_key and
+    give one finding; empty tables give none; other columns are ignored.
     """
     items = materialize(_window_pass(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"),
@@ -247,23 +269,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_W
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"),
                     "text"),
         "doc_id long, row_key long", widths, bitmap, False), "hits")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("pos").alias("item_windows"))
-    both = hits.join(items.select("item_id", F.col("pos").alias("item_pos"), "hash", "pattern",
-                                  F.col("slots").alias("item_slots")), ["hash", "pattern"])
+    sizes = items.groupBy("item_id", "form").agg(F.countDistinct("pos").alias("item_windows"))
+    both = hits.join(items.select("item_id", "form", F.col("pos").alias("item_pos"), "hash",
+                                  "pattern", F.col("slots").alias("item_slots")),
+                     ["form", "hash", "pattern"])
     aligned = (both.groupBy("row_key", "doc_id", "item_id",
-                            (F.col("pos") - F.col("item_pos")).alias("shift"))
+                            (F.col("pos") - F.col("item_pos")).alias("shift"), "form")
                .agg(F.countDistinct("item_pos").alias("n"),
                     F.array_distinct(F.flatten(F.collect_set(
                         F.arrays_zip("item_slots", "slots")))).alias("pairs")))
     one_to_one = F.expr("size(pairs) = size(array_distinct(pairs.item_slots))"
                         " and size(pairs) = size(array_distinct(pairs.slots))")
-    return (aligned.where(one_to_one)
+    passes = one_to_one & (F.col("n") >= F.least(F.lit(min_windows), "item_windows"))
+    return (aligned.join(sizes, ["item_id", "form"])
+            .groupBy("row_key", "doc_id", "item_id", "shift")
+            .agg(F.max(F.when(passes, F.struct("n", "item_windows"))).alias("best"),
+                 F.min(F.expr("forall(pairs, p -> p.item_slots = p.slots)")).alias("verbatim"))
+            .where("best is not null")
             .groupBy("row_key", "doc_id", "item_id")
-            .agg(F.max("n").alias("n_windows"),
-                 F.max(F.expr("forall(pairs, p -> p.item_slots = p.slots)")).alias("verbatim"))
-            .join(sizes, "item_id")
-            .where(F.col("n_windows") >= F.least(F.lit(min_windows), "item_windows"))
-            .select("doc_id", "row_key", "item_id", "n_windows", "item_windows", "verbatim"))
+            .agg(F.max("best").alias("best"), F.max("verbatim").alias("verbatim"))
+            .select("doc_id", "row_key", "item_id", F.col("best.n").alias("n_windows"),
+                    "best.item_windows", "verbatim"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS

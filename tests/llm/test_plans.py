@@ -274,6 +274,29 @@ def test_reparameterised_questions(spark):
     assert {r.doc_id for r in left.collect()} == {6, 7, 8, 9, 10, 11}
 
 
+def contaminations(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.verbatim for r in D.contaminated(docs, bench).collect()}
+
+
+def test_names_anywhere_and_copies_in_other_cases(spark):
+    items = ["Anna has 3 apples. Ben has 4 pears. Anna gives Ben 2 apples. How many has Anna?",
+             "Anna has 3 apples and eats 2 of them.",
+             "Der Zug nach Berlin hat am Morgen drei Wagen mit Kohle und auf der Straße steht "
+             "noch ein Wagen mit Holz"]
+    wrapped = items[2].split()
+    wrapped = "\n".join(" ".join(wrapped[i:i + 4]) for i in range(0, len(wrapped), 4))
+    got = contaminations(spark, items, [
+        "Carl has 5 apples. Dora has 6 pears. Carl gives Dora 7 apples. How many has Carl?",
+        "Carl has 5 apples and eats 4 of them.",
+        items[2].lower(), items[2].upper(), wrapped, items[0].lower(), items[1].upper(),
+        "Carl has 5 apples. Dora has 6 pears. Emil gives Fred 7 apples. How many has Gina?",
+        " ".join(prose(6, 200))])
+    assert got == {(0, 0): False, (1, 1): False, (2, 2): True, (3, 2): True, (4, 2): True,
+                   (5, 0): True, (6, 1): True}
+
+
 def test_decontamination_against_search(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
