@@ -297,6 +297,16 @@ def test_names_anywhere_and_copies_in_other_cases(spark):
                    (5, 0): True, (6, 1): True}
 
 
+def test_items_of_slots_and_short_items(spark):
+    items = ["Compute 12 + 7 * 3 - 5.", "Add 1 2 3 4 5 6 7 8 9 10 11 please", "Solve 17 x",
+             "Anna Ben Carl Dora Emil Fred"]
+    got = contaminations(spark, items, [
+        "First: " + items[0], "Compute 13 + 7 * 3 - 5.", "so add 1 2 3 4 5 6 7 8 9 10 11 please",
+        "Add 2 2 3 5 5 6 8 8 9 11 11 please", "now solve 17 x", "Solve 18 x",
+        "ANNA BEN CARL DORA EMIL FRED", "Gina Hans Ida Jan Karl Lena", "5 6 7 8 9 10 11 12 13 14"])
+    assert got == {(0, 0): True, (2, 1): True, (4, 2): True, (6, 3): True}
+
+
 def test_decontamination_against_search(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
