@@ -1,6 +1,6 @@
 """License scans by an exact set-similarity join, in SQL functions only.
 
-A text block (a line's set of words) holds a license if it contains at least `THRESHOLD` of
+A text block (the set of words of a line, or of a paragraph) holds a license if it contains at least `THRESHOLD` of
 the words of one of its templates.  Words are ordered by how many documents of the corpus
 have them, rarest first.  A block that contains enough of a template must share one of the
 template's first words in that order (prefix), be large enough itself (length), and have
@@ -48,6 +48,11 @@ TEMPLATES = (
 )
 THRESHOLD = 0.9
 
+# What stands between blocks.  Every run of lines without a blank one among them is part of a
+# paragraph and its words are the paragraph's, so wrapped notices need no blocks of their own.
+LINE = r"\n"
+PARAGRAPH = r"\r?\n[ \t\x0B\f\r]*\n"
+
 
 def phrase_pattern(*phrases: str) -> str:
     """Places where the words of a phrase stand consecutively, A-Z in either case."""
@@ -69,8 +74,8 @@ def _strings(values: list[str]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def template_matches(order: list[str], templates=TEMPLATES, threshold: float = THRESHOLD
-                     ) -> Column:
+def template_matches(order: list[str], templates=TEMPLATES, threshold: float = THRESHOLD,
+                     between: str = LINE) -> Column:
     """Array of (label, containment) of the pairs of a block and a template that match."""
     rank = {w: i for i, w in enumerate(order)}
     made, first_words, least = [], set(), 1 << 30
@@ -82,8 +87,8 @@ def template_matches(order: list[str], templates=TEMPLATES, threshold: float = T
         least = min(least, need)
         made.append(f"named_struct('label', '{label}', 'words', {_strings(words)}, 'prefix', "
                     f"{_strings(prefix)}, 'need', {need})")
-    blocks = (rf"filter(transform(split(translate(text, '{UPPER}', '{LOWER}'), '\n'), line -> "
-              f"array_intersect({_strings(order)}, split(line, gap))), b -> size(b) >= {least})")
+    blocks = (f"filter(transform(split(translate(text, '{UPPER}', '{LOWER}'), between), part -> "
+              f"array_intersect({_strings(order)}, split(part, gap))), b -> size(b) >= {least})")
     shared = "element_at(array_intersect(t.prefix, b), 1)"
     join = f"""
         flatten(transform({blocks}, b -> transform(
@@ -105,23 +110,26 @@ def template_matches(order: list[str], templates=TEMPLATES, threshold: float = T
     return F.when(may, F.expr(join)).otherwise(empty)
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD,
+         between: str = LINE) -> DataFrame:
     """One row per row of `docs`: doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels, score.
 
     `labels` are the base phrases' and the templates'; `score` is 1 with a base phrase, else
-    the largest containment of a matching template, else 0.  Null counts as empty; a block of
+    the largest containment of a matching template, else 0.  `between` cuts the text into
+    blocks, by LINE or by PARAGRAPH, which finds wrapped notices too.  Null counts as empty; a block of
     any length is looked at whole.  Repeated rows and null ids come out as they come in;
     other columns are ignored; an empty table gives no rows.
     """
     order = word_order(docs, sorted({w for _, text in templates for w in text.split()}))
     every = phrase_pattern(*(p for p, _ in PHRASES))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce("text", F.lit("")).alias("text"), F.lit(f"{GAP}+").alias("gap"))
+                       F.coalesce("text", F.lit("")).alias("text"), F.lit(f"{GAP}+").alias("gap"),
+                       F.lit(between).alias("between"))
     rows = rows.select(
         "doc_id", "text", F.regexp_count("text", F.lit(f"{WORD}+")).cast("long").alias("n_words"),
         F.regexp_count("text", F.lit(every)).cast("long").alias("n_base"),
-        template_matches(order, templates, threshold).alias("matches"))
+        template_matches(order, templates, threshold, between).alias("matches"))
     has = F.col("n_base") > 0
     before_first = F.element_at(F.split("text", every, 2), 1)
     before_last = F.regexp_extract("text", "(?s)^(.*)" + every, 1)

@@ -72,7 +72,7 @@ def op7_section_token_counts(spark, sf):
 @query
 def op8_license_scan(spark, sf):
     """License phrases and notices of every document."""
-    return licenses.scan(read(spark, sf, "documents"))
+    return licenses.scan(read(spark, sf, "documents"), between=licenses.PARAGRAPH)
 
 
 @query

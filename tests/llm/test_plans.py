@@ -242,6 +242,27 @@ def test_license_filters_lose_no_pair(spark, threshold):
         assert r.score == pytest.approx(max(best.values(), default=0.0))
 
 
+def test_wrapped_notices(spark, tmp_path):
+    """Every template, wrapped at several widths, among other lines; the query's own blocks."""
+    texts, want = [], []
+    for label, template in L.TEMPLATES:
+        for width in (1, 3, 8):
+            w = template.split()
+            lines = [" * " + " ".join(w[i:i + width]) for i in range(0, len(w), width)]
+            texts.append("\n".join(["Some title", "", "/*", *lines, " */", "", "more text"]))
+            want.append(label)
+        texts.append("\n \t\n".join(template.split()))   # words in paragraphs of their own
+        want.append(None)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op8_license_scan"](spark, str(tmp_path)).collect()}
+    for i, label in enumerate(want):
+        if label is None:
+            assert rows[i].labels == rows[i].base_labels
+        else:
+            assert label in rows[i].labels.split(",") and rows[i].score == 1.0
+
+
 # ---- decontamination --------------------------------------------------------------------
 
 ITEMS = [
