@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import (decontamination, exact_dedup, licenses, packing, quality, secrets,
-                           sharding, simhash, tokens, toxicity)
+from brookmart.llm import (decontamination, exact_dedup, importance, licenses, packing, quality,
+                           secrets, sharding, simhash, tokens, toxicity)
 from brookmart.llm.common import prepare, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,12 @@ def op10_template_decontamination(spark, sf):
         read(spark, sf, "documents"), read(spark, sf, "benchmark")).drop("row_key")
 
 
+@query
+def op11_importance_resampling(spark, sf):
+    """A tenth of the documents, drawn towards the benchmark's words."""
+    return importance.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 @query
 def pipeline(spark, sf):
     """The five stages of the corpus pipeline."""
