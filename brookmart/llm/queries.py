@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import (decontamination, exact_dedup, importance, licenses, packing, quality,
-                           secrets, sharding, simhash, tokens, toxicity)
+from brookmart.llm import (alignment, decontamination, exact_dedup, importance, lexicon, licenses,
+                           packing, quality, secrets, sharding, simhash, tokens, toxicity)
 from brookmart.llm.common import prepare, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,18 @@ def op11_importance_resampling(spark, sf):
     return importance.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+@query
+def op12_transducer_bpe(spark, sf):
+    """Digests of every document's ids and of the text decoded from them."""
+    return lexicon.digests(read(spark, sf, "documents"))
+
+
+@query
+def op13_cross_tokenizer_alignment(spark, sf):
+    """How two tokenizers' tokens of every document overlap."""
+    return alignment.aligned(read(spark, sf, "documents"), texts=False)
+
+
 @query
 def pipeline(spark, sf):
     """The five stages of the corpus pipeline."""
