@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import arrow_pass, components, materialize, row_key, text_bytes
-from brookmart.llm.decontamination import BITMAP_BITS, _bitmap
 
 SHINGLE = 4
 SEED = 42
@@ -267,6 +266,15 @@ def shingle_fingerprint(data: bytes) -> list[int]:
     return [simhash(shingles(data, SHINGLE))]
 
 
+def _roots(nodes: DataFrame, threshold: int) -> DataFrame:
+    """`(fp, root)` of the fingerprints (column `fp`, distinct) that have a near one."""
+    if threshold > THRESHOLD:
+        raise ValueError(f"only up to {THRESHOLD} bits all pairs are sure to be found")
+    links = hamming_links(nodes.select(F.col("fp").alias("id"), F.lit(0).alias("salt"), "fp"),
+                          threshold)
+    return components(links).withColumnRenamed("node", "fp")
+
+
 def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of `docs`: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -276,16 +284,11 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     Repeated rows come out as often as they come in; other columns are ignored; an empty
     table gives no rows.
     """
-    if threshold > THRESHOLD:
-        raise ValueError(f"only up to {THRESHOLD} bits all pairs are sure to be found")
     own = materialize(fingerprints(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")),
         shingle_fingerprint, "doc_id", "doc_id long").drop("salt"), "fingerprints")
     nodes = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    links = hamming_links(nodes.select(F.col("fp").alias("id"), F.lit(0).alias("salt"), "fp"),
-                          threshold)
-    roots = components(links)
-    labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    labelled = nodes.join(_roots(nodes, threshold), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first")
     least = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = materialize(labelled.join(least, "root").select("fp", "component_id"), "labels")
@@ -294,254 +297,39 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 # ---- one document of each group ---------------------------------------------------------
-#
-# All pairs of Jaccard similarity `similarity` and more, by a prefix join.  Shingles have one
-# order for all sets; two sets that are similar enough share one of the first
-# n - ceil(similarity * n) + 1 of each.  Common shingles come last in that order.  They are
-# told by a sample, which decides how many pairs have to be looked at and never which are found.
-
-SIMILARITY_SHINGLE = 5
-SIMILARITY = 0.8
-SAMPLE = 16                 # one row of so many is looked at for common shingles
-COMMON = 1 << 16            # most shingles that are put last
-MEET = 1_024                # members of a group whose pairs are made in one go
-BASE = np.uint64(0x9E3779B97F4A7C15)
-EPS = 1e-9
-
-
-class Words(dict):
-    """Word -> hash; forgets all when it grows too large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 18:
-            self.clear()
-        made = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return made
-
-
-WORDS = Words()
-
-
-def shingle_hashes(data: bytes) -> np.ndarray:
-    """The set of a text's five-word shingles as sorted 64-bit hashes."""
-    words = data.lower().split()
-    width = min(len(words), SIMILARITY_SHINGLE)
-    own = np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
-    total = np.full(len(words) - width + 1 if words else 0, width, np.uint64)
-    for j in range(width):
-        total = total * BASE + own[j:j + len(total)]
-    total ^= total >> np.uint64(29)
-    return np.unique(total * BASE)
-
-
-def set_key(own: np.ndarray) -> int:
-    """Sets are nodes under this name; equal ones share it."""
-    return int(np.array(xxhash.xxh64_intdigest(own.tobytes(), SEED), np.uint64).view(np.int64))
-
-
-def common_shingles(docs: DataFrame) -> np.ndarray:
-    """Shingles that several sampled rows have, rarest first."""
-    def run(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_hashes(t) for t in batch.column(0).to_pylist()]
-        return {"token": np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)}
-
-    rows = (arrow_pass(docs.where(F.pmod(F.hash("id"), F.lit(SAMPLE)) == 0).select("text"), run,
-                       "token long").groupBy("token").count().where("count > 1")
-            .orderBy(F.desc("count"), "token").limit(COMMON).toArrow())  # COMMON narrow rows
-    return rows["token"].to_numpy()[::-1].view(np.uint64)
-
-
-def prefixes(docs: DataFrame, similarity: float, common: np.ndarray) -> DataFrame:
-    """`docs(id, text)` -> `(token, node, place)`: each set's first shingles; `place` is the
-    set's size << 32 | the shingle's position in it."""
-    order = np.argsort(common)
-    known = common[order]
-
-    def first(own: np.ndarray) -> np.ndarray:
-        n = len(own)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-            rank = np.where(known[at] == own, order[at] + 1, 0)
-            own = own[np.argsort(rank, kind="stable")]
-        return own[:n - int(np.ceil(similarity * n - EPS)) + 1]
-
-    def run(batch: pa.RecordBatch) -> dict:
-        sets = [s for t in batch.column(0).to_pylist() if len(s := shingle_hashes(t))]
-        heads = [first(s) for s in sets]
-        count = [len(h) for h in heads]
-        place = [np.int64(len(s) << 32) + np.arange(n) for s, n in zip(sets, count)]
-        return {"token": np.concatenate([np.zeros(0, np.uint64), *heads]).view(np.int64),
-                "node": np.repeat(np.array([set_key(s) for s in sets], np.int64), count),
-                "place": np.concatenate([np.zeros(0, np.int64), *place])}
-
-    return arrow_pass(docs.select("text"), run, "token long, node long, place long")
-
 
-def fits(one: np.ndarray, two: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether sets can be similar enough if the shingle at these places is their first shared
-    one: by their sizes, and by what is left after it."""
-    low = (1 << 32) - 1
-    n, m, i, j = one >> 32, two >> 32, one & low, two & low
-    return ((np.minimum(n, m) >= similarity * np.maximum(n, m) - EPS)
-            & (np.minimum(n - i, m - j) >= similarity / (1 + similarity) * (n + m) - EPS))
-
-
-def _distinct(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    pairs = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
-    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
-
-
-def _stars(similarity: float, block: int):
-    """Sorted (token, node, place) -> pairs of each group's first member and the others (rest
-    false, a, b); and the others as members of the group (rest true, a = token, b = node,
-    place, part) unless there is only one."""
-    schema = pa.schema([("rest", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()),
-                        ("place", pa.int64()), ("part", pa.int64())])
-
-    def rows(rest, *columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(columns[0]), rest)), *map(pa.array, columns)], schema=schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None     # the last group's token, first node, its place, and members so far
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, node, place = (c.to_numpy() for c in batch.columns)
-            new = np.r_[True, token[1:] != token[:-1]]
-            group = np.cumsum(new) - 1
-            start = np.flatnonzero(new)[group]
-            index = np.arange(len(token)) - start
-            centre, spot = node[start], place[start]
-            if held is not None and held[0] == token[0]:
-                same = group == 0
-                centre[same], spot[same] = held[1], held[2]
-                index[same] += held[3]
-            held = token[-1], centre[-1], spot[-1], index[-1] + 1
-            near = (index > 0) & fits(place, spot, similarity)
-            pairs = _distinct(node[near], centre[near])
-            zero = np.zeros(len(pairs), np.int64)
-            yield rows(False, pairs[:, 0].copy(), pairs[:, 1].copy(), zero, zero)
-            rest = (index > 0) & ~((index == 1) & np.r_[new[1:], False])
-            yield rows(True, token[rest], node[rest], place[rest], (index[rest] - 1) // block)
-
-    return run
-
-
-def _crosses(similarity: float):
-    """Sorted (token, x, y, node, place, part, label) -> pairs under different labels."""
-    def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
-        token, x, y, node, place, part, label = columns
-        new = (token[1:] != token[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-        starts = np.flatnonzero(np.r_[True, new])
-        sizes = np.diff(np.r_[starts, len(token)])
-        end, at, step = np.repeat(starts + sizes, sizes), np.arange(len(token)), 0
-        found = [np.zeros((0, 2), np.int64)]
-        while len(at):
-            step += 1
-            at = at[at + step < end[at]]
-            to = at + step
-            near = ((label[at] != label[to]) & ((x[at] == y[at]) | (part[at] != part[to]))
-                    & fits(place[at], place[to], similarity))
-            found.append(_distinct(node[at[near]], node[to[near]]))
-        out = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(out[:, 0].copy()), pa.array(out[:, 1].copy())],
-                                          names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 7
-        for batch in batches:
-            held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
-            if not len(held[0]):
-                continue
-            other = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1])
-                                   | (held[2] != held[2][-1]))
-            if len(other):
-                last = int(other[-1]) + 1
-                yield pairs([h[:last] for h in held])
-                held = [h[last:] for h in held]
-        if len(held[0]):
-            yield pairs(held)
-
-    return run
-
-
-def _sets_of(nodes: np.ndarray):
-    """Columns id, text -> id, node, and the set where the bitmap has the node."""
-    def run(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_hashes(t) for t in batch.column(1).to_pylist()]
-        keys = np.array([set_key(s) for s in sets], np.int64)
-        cell = keys.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
-        bit = (cell & np.uint64(7)).astype(np.uint8)
-        wanted = (nodes[cell >> np.uint64(3)] >> bit) & 1 > 0
-        return {"id": batch.column(0),
-                "node": pa.array(keys, mask=np.array([not len(s) for s in sets], bool)),
-                "own": pa.array([s.view(np.int64) if w else None for s, w in zip(sets, wanted)],
-                                pa.list_(pa.int64()))}
-
-    return run
-
-
-def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, block: int = MEET
-                         ) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of `docs` without near copies, with all their columns.
 
-    Rows link if the Jaccard similarity of their five-word shingles is at least `similarity`.
-    Of each connected group the row with the smallest doc_id stays (null ids last, then by key).
-
-    The groups are exact.  Sets that share one of their first shingles are a group; each is
-    first compared with its group's first member, then all those that are not connected yet
-    with each other.
-
-    Full copies of a row count as one node and all go or stay; texts without words have no
-    candidates and stay.  An empty table gives no rows.
+    Rows are grouped as `near_components` groups them.  Of each group the row with the
+    smallest doc_id stays (null ids last, then by the text's hash), once if it is repeated;
+    which of several rows with one id and one text that is, is free.  Null and empty texts
+    share the fingerprint zero and are one group.  An empty table gives no rows.
     """
-    keyed = docs.select(row_key().alias("id"), F.col("doc_id").cast("long").alias("doc_id"),
+    keyed = docs.select(F.struct(row_key().alias("row_key"),
+                                 F.col("doc_id").cast("long").alias("doc_id")).alias("own"),
                         text_bytes().alias("text"))
-    found = materialize(
-        prefixes(keyed, similarity, common_shingles(keyed)).repartition("token")
-        .sortWithinPartitions("token", "node").mapInArrow(
-            _stars(similarity, block), "rest boolean, a long, b long, place long, part long"),
-        "prefix-groups")
-    first = found.where("not rest").select("a", "b").distinct()
-    members = found.where("rest").select(F.col("a").alias("token"), F.col("b").alias("node"),
-                                         "place", "part")
-    wanted = _bitmap(first.select(F.explode(F.array("a", "b"))).union(members.select("node")))
-    own = materialize(arrow_pass(keyed.select("id", "text"), _sets_of(wanted),
-                                 "id long, node long, own array<long>"), "shingle-sets")
-    sets = own.where("own is not null").dropDuplicates(["node"]).select("node", "own")
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("one")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("own").alias("two")), "b")
-                .withColumn("shared", F.size(F.array_intersect("one", "two"))))
-        return materialize(
-            both.where(F.col("shared") >= similarity * (F.size("one") + F.size("two")
-                                                        - F.col("shared"))).select("a", "b"),
-            "near-links")
-
-    links = similar(first)
-    labelled = members.join(components(links), "node", "left").withColumn(
-        "label", F.coalesce("root", "node"))
-    # Groups whose members are all connected have nothing left to compare.
-    open_groups = labelled.groupBy("token").agg(
-        F.max("part").alias("last"), F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("low <> high").select("token", "last")
-    paired = (labelled.join(open_groups, "token").withColumn("other", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.col("last"))))
-        .select("token", F.least("part", "other").alias("x"),
-                F.greatest("part", "other").alias("y"), "node", "place", "part", "label"))
-    crossing = (paired.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-                .mapInArrow(_crosses(similarity), "a long, b long").distinct())
-    roots = materialize(components(links.union(similar(crossing))), "near-roots")
-
-    named = (own.where("node is not null").join(roots, "node", "left")
-             .select("id", F.coalesce("root", "node").alias("root"))
-             .join(keyed.select("id", "doc_id").distinct(), "id"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
-    stays = named.groupBy("root").agg(F.min_by("id", order).alias("stays"))
-    gone = materialize(named.join(stays, "root").where("id <> stays").select(
-        "id").distinct(), "near-copies")
-    return (docs.select(row_key().alias("id"),
-                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-            .join(gone, "id", "left_anti").select("row.*"))
+    own = materialize(fingerprints(keyed, shingle_fingerprint, "own",
+                                   "own struct<row_key:long,doc_id:long>")
+                      .select("own.*", "fp"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    nodes = materialize(own.groupBy("fp").agg(
+        F.min(order).alias("first"), F.count("*").alias("n")), "nodes")
+    labelled = nodes.join(_roots(nodes, threshold), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+    best = (labelled.groupBy("root")
+            .agg(F.min("first").alias("stays"), F.sum("n").alias("n"))
+            .where("n > 1").select("root", "stays"))
+    grouped = materialize(
+        labelled.join(best, "root").select("fp", "stays"), "groups")
+    members = (own.join(grouped, "fp")
+               .groupBy("row_key", (F.col("row_key") == F.col("stays.row_key")).alias("stays"))
+               .agg(F.count("*").alias("n")))
+    # Rows of groups that go, and those that stay but come more than once.
+    marked = materialize(members.where("not stays or n > 1").select("row_key", "stays"), "marked")
+    rows = docs.select(row_key().alias("row_key"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    repeated = (rows.join(marked.where("stays").select("row_key"), "row_key", "left_semi")
+                .groupBy("row_key").agg(F.first("row").alias("row")))
+    return (rows.join(marked.select("row_key"), "row_key", "left_anti").select("row.*")
+            .unionAll(repeated.select("row.*")))
