@@ -29,14 +29,15 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.llm.common import arrow_pass, materialize, text_bytes
+from brookmart.llm.common import arrow_pass, count_threshold, materialize, text_bytes
 from brookmart.llm.lexicon import SPACE, VOCABULARY, Encoder, Ragged, Vocabulary
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 LANE = 1_024                # bytes of a document that one place of the state vector covers
 MEMORY = 1 << 18            # distinct pieces that a worker remembers
 HOT_PAIRS = 1 << 20         # pairs whose counts are sent to every task, 13 bytes each
-HELD_PAIRS = 1 << 21        # distinct pairs that a task counts before it passes them on
+PIECE = 2 << 20             # bytes of a batch that are aligned together
+HELD_PAIRS = 1 << 20        # distinct pairs that a task counts before it passes them on
 
 _CUT = re.compile(rb"(?<! ) (?!" + SPACE + rb"|\Z)")
 _ODD = re.compile(rb"  | (?:" + SPACE + rb"|\Z)")
@@ -227,22 +228,9 @@ def pair_counts(own: DataFrame, pieces_b: int) -> DataFrame:
         "pair", "n", (F.col("n") == F.col("most")).alias("best")), "pair-counts")
 
 
-def hot_threshold(counts: DataFrame, most: int) -> int:
-    """The least power-of-two-quarter count that at most `most` pairs reach."""
-    level = F.floor(F.log2("n") * 4)
-    rows = counts.groupBy(level.alias("level")).count().collect()     # under 256 levels
-    total, least = 0, None
-    for row in sorted(rows, reverse=True):
-        total += row[1]
-        if total > most:
-            break
-        least = row[0]
-    return 1 << 62 if least is None else int(np.ceil(2 ** (least / 4) - 1e-9))
-
-
 def summed(own: DataFrame, counts: DataFrame, most: int = HOT_PAIRS) -> DataFrame:
     """`own` without its pairs, with n_best and count_sum."""
-    least = hot_threshold(counts, most)
+    least = count_threshold(counts, most)
     kept = [c for c in own.columns if c not in ("pairs", "times")]
     hot = counts.where(F.col("n") >= least).toArrow()       # about `most` narrow rows
     order = np.argsort(hot["pair"].to_numpy())
@@ -322,7 +310,7 @@ def aligned(docs: DataFrame, vocabulary_file: str = VOCABULARY, model_file: str
     own = materialize(arrow_pass(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes()), run,
         f"doc_id long, n_a long, n_b long, n_groups long, n_links long, {shown}, "
-        "pairs array<long>, times array<int>")
+        "pairs array<long>, times array<int>", PIECE)
         .withColumn("row", F.monotonically_increasing_id()), "alignment")
     pieces_b = Pieces(content.value[1]).model.get_piece_size()
     return summed(own, pair_counts(own, pieces_b), hot_pairs).drop("row")

@@ -65,15 +65,16 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
 
 
 def arrow_pass(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None],
-               schema: str) -> DataFrame:
-    """Apply `function` to Arrow batches; it returns the columns of its result by name."""
+               schema: str, most_bytes: int = 8 << 20) -> DataFrame:
+    """Apply `function` to Arrow batches of about `most_bytes` or less; it returns the columns
+    of its result by name."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, most_bytes):
                 out = function(piece)
                 if out is not None:
                     yield pa.RecordBatch.from_arrays(
@@ -97,6 +98,20 @@ def ints(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
+def count_threshold(counts: DataFrame, most: int) -> int:
+    """A count `n` (column of `counts`) that at most `most` rows reach, and if more than
+    `most` rows have one count, none.  Counts are told apart by quarters of a power of two."""
+    level = F.floor(F.log2("n") * 4)
+    rows = counts.groupBy(level.alias("level")).count().collect()     # under 256 levels
+    total, least = 0, None
+    for row in sorted(rows, reverse=True):
+        total += row[1]
+        if total > most:
+            break
+        least = row[0]
+    return 1 << 62 if least is None else int(np.ceil(2 ** (least / 4) - 1e-9))
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Smallest reachable node of every linked node: `links(a, b)` -> `(node, root)`.
 

@@ -34,7 +34,7 @@ from pyspark import SparkContext, SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.llm.common import arrow_pass, pieces, text_bytes
+from brookmart.llm.common import arrow_pass, count_threshold, materialize, pieces, text_bytes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 LEXICON_WORDS = 1 << 17     # most frequent words that are compiled
@@ -444,7 +444,10 @@ class Encoder:
 
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS, longest: int = LONGEST_WORD
                    ) -> list[bytes]:
-    """The most frequent words of all texts, each with the space before it, sorted."""
+    """The most frequent words of all texts, each with the space before it, sorted.
+
+    They are those that reach the least count that at most `most` words reach.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -463,9 +466,9 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS, longest: int = LO
             [pa.array([w for w, _ in fit], pa.binary()), pa.array([n for _, n in fit], pa.int64())],
             names=["word", "n"])
 
-    counted = (docs.select(text_bytes()).mapInArrow(run, "word binary, n long")
-               .groupBy("word").agg(F.sum("n").alias("n")))
-    top = counted.orderBy(F.desc("n"), "word").limit(most).select("word").toArrow()
+    counted = materialize(docs.select(text_bytes()).mapInArrow(run, "word binary, n long")
+                          .groupBy("word").agg(F.sum("n").alias("n")), "words")
+    top = counted.where(F.col("n") >= count_threshold(counted, most)).select("word").toArrow()
     return sorted(b" " + w for w in top["word"].to_pylist())     # `most` short words
 
 

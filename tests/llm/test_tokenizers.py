@@ -124,8 +124,9 @@ def test_digests_of_awkward_rows(spark):
 
 def test_frequent_words_count_every_document(spark):
     rows = [(i, f"x common w{i % 3} {'y' * 60}") for i in range(90)]
-    words = X.frequent_words(spark.createDataFrame(rows, "doc_id int, text string"), 2)
-    assert words == [b" common", b" w0"]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    assert X.frequent_words(docs, 4) == [b" common", b" w0", b" w1", b" w2"]
+    assert X.frequent_words(docs, 3) == [b" common"] and X.frequent_words(docs, 0) == []
 
 
 # ---- alignment --------------------------------------------------------------------------
