@@ -57,3 +57,9 @@ def age_in_years(birthday: Column | str, as_of: Column) -> Column:
 
 def now_millis() -> Column:
     return F.unix_millis(F.current_timestamp())
+
+
+def day_of(at: Column, zone: str | None = None) -> Column:
+    """Day of an instant as `yyyy-MM-dd`, in `zone` or the session's time zone."""
+    local = F.convert_timezone(None, F.lit(zone), at.cast("timestamp_ntz")) if zone else at
+    return F.date_format(local, "yyyy-MM-dd")

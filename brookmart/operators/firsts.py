@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brookmart.functions.times import day_of
+
 
 def _top_one(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -33,9 +35,10 @@ def latest_version(df: DataFrame, keys: Sequence[str | Column], ts: str,
 
 
 def daily_uv(pages: DataFrame, key: str = "mid", ts: str = "ts",
-             tie: Sequence[str] = ("pos",)) -> DataFrame:
-    """Earliest record of each device on each day."""
-    day = F.to_date(F.timestamp_millis(ts))
+             tie: Sequence[str] = ("pos",), zone: str | None = None) -> DataFrame:
+    """Earliest record of each device on each day of `zone`, or of the session's time zone."""
+    at = F.timestamp_millis(ts)
+    day = day_of(at, zone) if zone else F.to_date(at)
     return earliest(pages, [key, day], ts, tie)
 
 

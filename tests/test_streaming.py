@@ -6,6 +6,8 @@ whose own result is left out of the comparison.
 
 import json
 import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,7 +51,8 @@ def texts_of(df):
 
 def rows(df, *columns):
     columns = columns or df.columns
-    return sorted(tuple(r) for r in df.select(*columns).collect())
+    return sorted((tuple(r) for r in df.select(*columns).collect()),
+                  key=lambda r: [(v is None, v) for v in r])
 
 
 def stream_rows(spark, df, name, *columns, mode="append"):
@@ -111,6 +114,90 @@ def test_sequence_fixture_stream(spark, site):
     assert got == [("101", 10000), ("101", 11000), ("102", 10000)]
 
 
+def stream_of(spark, site, texts, name="part-0"):
+    put(site, S.ODS_LOG, texts, name)
+    return logs.page_views(logs.parse_log(read_topic(spark, S.ODS_LOG, site.topics)))
+
+
+def test_no_record_reaches_python(spark, page_stream):
+    """Sequences have no Python in their plan; first records give it times and positions only."""
+    _, stream = page_stream
+
+    def plan(df, name):
+        query = (df.writeStream.format("memory").queryName(name).trigger(availableNow=True).start())
+        query.awaitTermination(120)
+        return query._jsq.explainInternal(False), query.lastProgress
+
+    text, _ = plan(stateful.user_jump_stream(stream, GAP), "plan_uj")
+    assert "Python" not in text and "TransformWithState" not in text
+    for name, df in (("nv", stateful.flag_new_visitor_stream(stream)),
+                     ("uv", stateful.daily_uv_stream(stream))):
+        text, _ = plan(df, f"plan_{name}")
+        below = text[text.index("TransformWithState"):]
+        arguments = below.splitlines()[0]
+        assert "page_id" not in arguments and "during_time" not in arguments
+
+
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_a_busy_device_among_others(spark, site, parts):
+    """A device with a third of all records, times that tie, steps exactly at the limit."""
+    rng = random.Random(parts)
+    texts = list(dict.fromkeys(
+        log_text("busy" if i % 3 == 0 else f"d{i % 40}", 250 * rng.randrange(800),
+                 rng.choice("ab"), rng.choice([None, "x"])) for i in range(600)))
+    stream = stream_of(spark, site, [*texts, log_text("end", SENTINEL)])
+    batch = logs.page_views(logs.parse_log(spark.createDataFrame(
+        [(t,) for t in texts], "value string").withColumn(
+            "pos", F.xxhash64("value"))))
+    entry, other = sequence.is_entry("last_page_id"), F.col("page_id") == "b"
+    got = stream_rows(spark, stateful.match_next_stream(stream, entry, other, "2 seconds",
+                                                        parts=parts),
+                      f"busy{parts}", "mid", "ts", "outcome", "next_ts")
+    want = rows(sequence.match_next(batch, entry, other, "2 seconds"),
+                "mid", "ts", "outcome", "next_ts")
+    assert [g for g in got if g[0] != "end"] == want and want
+
+
+def test_visitor_state_of_old_days_goes(spark, site):
+    """Over three days the state never holds more devices than the last day has."""
+    day = 86_400_000
+    wanted = [*sorted((f"a{i}", 1000 + i) for i in range(20)), ("b", 3 * day)]
+    stream = stream_of(spark, site, [log_text(m, t) for m, t in wanted[:-1]], "part-0")
+    query = (stateful.daily_uv_stream(stream).writeStream.format("memory").queryName("uv_days")
+             .option("checkpointLocation", site.checkpoint("uv_days")).start())
+    try:
+        query.processAllAvailable()
+        put(site, S.ODS_LOG, [log_text("b", 3 * day), log_text("b", 3 * day + 1)], "part-1")
+        query.processAllAvailable()
+        put(site, S.ODS_LOG, [log_text("c", 6 * day)], "part-2")
+        query.processAllAvailable()
+        for _ in range(120):        # the batch without data that follows
+            if rows(spark.table("uv_days"), "mid", "ts") == wanted:
+                break
+            time.sleep(0.5)
+        time.sleep(1)
+        assert rows(spark.table("uv_days"), "mid", "ts") == wanted
+        state = [s["numRowsTotal"] for s in query.lastProgress["stateOperators"]]
+        assert state and max(state) <= 8, state
+    finally:
+        query.stop()
+
+
+def test_days_of_a_zone(spark, site):
+    """Two records around midnight in Shanghai are two days there and one in UTC."""
+    before, after = 1_704_124_799_000, 1_704_124_801_000      # 15:59:59 and 16:00:01 UTC
+    stream = stream_of(spark, site, [log_text("1", before), log_text("1", after),
+                                     log_text("end", SENTINEL)])
+    for zone, want in ((None, [before]), ("Asia/Shanghai", [before, after])):
+        got = stream_rows(spark, stateful.daily_uv_stream(stream, zone=zone),
+                          f"zone_{'utc' if zone is None else 'other'}", "mid", "ts")
+        assert [g[1] for g in got if g[0] == "1"] == want
+        batch = logs.page_views(logs.parse_log(spark.read.text(
+            site.topics.folder(S.ODS_LOG)).withColumn("pos", F.xxhash64("value"))))
+        assert rows(firsts.daily_uv(batch, zone=zone).where("mid = '1'"), "ts") == [
+            (t,) for t in want]
+
+
 def order_site(spark, sf_dir, site):
     late = '"create_time":"2100-01-01 00:00:00"'
     put(site, S.DWD_ORDER_INFO, [*texts_of(to_payload(A.order_info(spark, sf_dir))),
