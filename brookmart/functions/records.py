@@ -60,3 +60,8 @@ def is_blank(c: Column | str) -> Column:
     """Null or empty text."""
     c = F.col(c) if isinstance(c, str) else c
     return F.coalesce(c, F.lit("")) == ""
+
+
+def is_object(text: Column) -> Column:
+    """Whether a text is a JSON object whose keys differ."""
+    return F.try_parse_json(text).try_cast("map<string, variant>").isNotNull()

@@ -57,12 +57,14 @@ def join_config(changes: DataFrame, config: DataFrame) -> DataFrame:
 def prune_columns(df: DataFrame, data: str = "data", columns: str = "sink_columns") -> DataFrame:
     """Keep the keys of the JSON text `data` listed in the row's own column list.
 
-    The list is cut at commas and not trimmed.  Values keep their JSON types.
+    The list is cut at commas and not trimmed.  Values keep their JSON types.  Rows whose
+    `data` is no JSON object with distinct keys are left out; see `is_object`.
     """
     kept = F.expr(f"""
-        to_json(map_filter(cast(parse_json({data}) as map<string, variant>),
+        to_json(map_filter(try_cast(try_parse_json({data}) as map<string, variant>),
                            (k, v) -> array_contains(split({columns}, ','), k)))""")
-    return df.withColumn("whole", F.col(data)).withColumn(data, kept)
+    return (df.withColumn("whole", F.col(data)).withColumn(data, kept)
+              .where(F.col(data).isNotNull()))
 
 
 def route_by_sink(df: DataFrame) -> DataFrame:

@@ -103,7 +103,8 @@ def routed_payloads(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     Start and page payloads are the record as it came, with all its fields, and only
     `common.is_new` replaced.  A display payload is the display's object with those of
-    common, page and the time merged in, later ones winning.
+    common, page and the time merged in, later ones winning.  Displays that are no objects
+    have none.
     """
     fixed = "map('is_new', cast(common.is_new as variant))"
     rows = (logs.withColumn("_all", F.expr(_object("try_parse_json(raw)")))
@@ -121,7 +122,7 @@ def routed_payloads(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                  when page is not null then array(struct('{DWD_PAGE}' as topic, {whole} as value))
                  else array() end,
             if(start is null and _shown is not null,
-               transform(_shown, d -> struct('{DWD_DISPLAY}' as topic, to_json({flat}) as value)),
+               transform(filter(_shown, d -> d is not null), d -> struct('{DWD_DISPLAY}' as topic, to_json({flat}) as value)),
                array()))""")
     return rows.select(*keep, F.inline(payloads))
 

@@ -33,6 +33,20 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     _write_partitions(marked, path, ["run", "batch_id"])
 
 
+def write_waiting(rows: DataFrame, path: str) -> None:
+    """The rows that a micro-batch leaves to the next one; an empty table if there are none.
+
+    The folder is replaced whole, so nothing of an earlier try of the batch stays.
+    """
+    rows.write.mode("overwrite").parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 # Rows as stored, however many epochs and tables there are, none included.
 DIM_STORE = ("pk array<string>, data map<string,string>, ts bigint, xid bigint, xoffset bigint, "
              "sink_table string, epoch int, batch_id long")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brookmart.operators.changelog import CHANGE_ORDER
 from brookmart.operators.firsts import latest_version
@@ -27,6 +29,16 @@ def read_dim(spark: SparkSession, root: str, table: str, columns: list[str]) ->
     return current.select([F.col("data")[c].alias(c) for c in columns])
 
 
+def read_waiting(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What `write_waiting` wrote; no rows if the folder is not there."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """The configuration as stored now; call it once per micro-batch to see changes.
 

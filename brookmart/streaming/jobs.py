@@ -16,16 +16,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from brookmart import schemas as S
-from brookmart.functions.records import parse_typed, pick, to_payload
+from brookmart.functions.records import is_object, parse_typed, pick, to_payload
+from brookmart.functions.times import duration_ms
 from brookmart.operators import changelog as C
 from brookmart.operators import logs as L
 from brookmart.operators import metrics as M
 from brookmart.operators.enrich import DIM_COLUMNS, enrich_product
 from brookmart.plans import orders, stats
-from brookmart.sinks.tables import store_config, upsert_dim, write_batch, write_stats
-from brookmart.sinks.topics import (TRIGGER, create_topic, start, write_batch_by_topic,
+from brookmart.sinks.tables import (remove_folder, store_config, upsert_dim, write_batch,
+                                    write_stats, write_waiting)
+from brookmart.sinks.topics import (TRIGGER, create_topic, run_id, start, write_batch_by_topic,
                                     write_by_topic, write_topic)
-from brookmart.sources.tables import read_config, read_dim
+from brookmart.sources.tables import read_config, read_dim, read_waiting
 from brookmart.sources.topics import TopicStore, read_ods_log, read_topic, typed
 from brookmart.streaming import stateful
 
@@ -104,14 +106,23 @@ def rejected(rows: DataFrame, required: dict[str, str]) -> DataFrame:
     """Records that a job cannot use, as JSON text of the record and the reason.
 
     `required` has a JSON path and type for each name; what none of the readers can do
-    without is missing if the path is absent or does not convert.
+    without is missing if the path is absent or does not convert.  The type `object` asks for
+    a JSON object with distinct keys, `objects` for nothing but such in an array, if there is
+    one; of a record with bad elements the good ones still go their way.
     """
     parsed = rows.withColumn("_v", F.try_parse_json("value"))
     reason = F.when(F.col("_v").isNull(), "no JSON")
     for name, where in required.items():
         path, kind = where.split()
         text = F.try_variant_get("_v", path, "string")
-        reason = reason.when(text.isNull() | text.try_cast(kind).isNull(), f"no {name}")
+        if kind == "object":
+            reason = reason.when(~is_object(F.coalesce(text, F.lit(""))), f"no {name}")
+        elif kind == "objects":
+            reason = reason.when(F.exists(
+                F.try_variant_get("_v", path, "array<variant>"),
+                lambda d: d.try_cast("map<string, variant>").isNull()), f"bad {name}")
+        else:
+            reason = reason.when(text.isNull() | text.try_cast(kind).isNull(), f"no {name}")
     return (parsed.withColumn("reason", reason).where(F.col("reason").isNotNull())
                   .select(F.to_json(F.struct("value", "reason")).alias("value")))
 
@@ -119,9 +130,10 @@ def rejected(rows: DataFrame, required: dict[str, str]) -> DataFrame:
 def rejects_job(site: Site, topic: str) -> StreamingQuery:
     """Records of a topic that its jobs leave out, with the reason, to `<topic>_rejected`."""
     if topic in (S.ODS_LOG, S.DWD_PAGE):
-        required = {"device": "$.common.mid string", "time": "$.ts bigint"}
+        required = {"device": "$.common.mid string", "time": "$.ts bigint",
+                    "display": "$.displays objects"}
     elif topic == S.ODS_DB:
-        required = {"table": "$.table string", "data": "$.data string"}
+        required = {"table": "$.table string", "data": "$.data object"}
     else:
         required = {"time": "$.create_time timestamp"}
     bad = rejected(read_topic(site.spark, topic, site.topics), required)
@@ -173,6 +185,8 @@ def changelog_job(site: Site, config_path: str, database: str = "shop") -> Strea
                  site.trigger, CHANGE_JOB)
 
 
+WAIT = "1 day"      # how long a fact waits for its dimension rows
+
 Dims = dict[str, DataFrame] | Callable[[], dict[str, DataFrame]]
 
 
@@ -183,28 +197,48 @@ def dims_from_tables(site: Site) -> Callable[[], dict[str, DataFrame]]:
 
 
 def enrich_to_topic(site: Site, facts: DataFrame, topic: str, dims: Dims,
-                    rich: Callable[[DataFrame, dict[str, DataFrame]], DataFrame]
-                    ) -> StreamingQuery:
+                    rich: Callable[[DataFrame, dict[str, DataFrame]], DataFrame],
+                    wait: str = WAIT) -> StreamingQuery:
     """Facts of each micro-batch enriched with the dimensions of that moment, to a topic.
 
-    Dimension rows that arrive while the job runs are seen by the next batch.  Facts without
-    their dimension rows are kept in `<tables>/unmatched/<topic>` as JSON text.
+    Facts without their dimension rows wait in `<tables>/waiting/<topic>` and are tried again
+    in every batch; the first one that finds the rows writes them.  What has waited for `wait`
+    goes to `<tables>/unmatched/<topic>` as JSON text.
+
+    A batch reads what the batch before it left and writes what it leaves itself, so a
+    repeated batch does the same again.  Waiting facts belong to their checkpoint: a job that
+    starts afresh reads its topics again too.
     """
+    columns = facts.columns
+    left = f"{site.tables}/waiting/{topic}"
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         now = dims() if callable(dims) else dims
-        batch = batch.withColumn("_fact", F.xxhash64(*batch.columns)).persist()
+        own = f"{left}/run={run_id(spark)}"
+        fresh = batch.select(*columns, F.unix_millis(F.current_timestamp()).alias("_since"))
+        due = fresh.unionByName(read_waiting(spark, f"{own}/batch_id={batch_id - 1}",
+                                             fresh.schema))
+        due = due.withColumn("_fact", F.xxhash64(*columns)).persist()
         try:
-            found = rich(batch, now).persist()
+            found = rich(due.drop("_since"), now).persist()
             try:
-                missing = to_payload(batch.join(found.select("_fact").distinct(), "_fact",
-                                                "left_anti").drop("_fact"))
+                missing = due.join(found.select("_fact").distinct(), "_fact", "left_anti").drop(
+                    "_fact").persist()
                 rows = to_payload(found.drop("_fact")).withColumn("topic", F.lit(topic))
                 write_batch_by_topic(rows, batch_id, f"{topic}_job", site.topics)
-                write_batch(missing, f"{site.tables}/unmatched/{topic}", batch_id)
+                old = F.col("_since") <= F.unix_millis(F.current_timestamp()) - duration_ms(wait)
+                missing = missing.withColumn("_old", old)
+                write_batch(to_payload(missing.where("_old").select(*columns)),
+                            f"{site.tables}/unmatched/{topic}", batch_id)
+                write_waiting(missing.where("not _old").drop("_old"),
+                              f"{own}/batch_id={batch_id}")
+                remove_folder(spark, f"{own}/batch_id={batch_id - 2}")
+                missing.unpersist()
             finally:
                 found.unpersist()
         finally:
-            batch.unpersist()
+            due.unpersist()
 
     create_topic(site.spark, topic, f"{topic}_job", site.topics)  # readers may start meanwhile
     return start(facts.writeStream.foreachBatch(write), site.checkpoint(topic), site.trigger,
@@ -213,12 +247,12 @@ def enrich_to_topic(site: Site, facts: DataFrame, topic: str, dims: Dims,
 
 def order_wide_job(site: Site, dims: Dims, as_of: Column | None = None,
                    lower: str = orders.ORDER_SLACK, upper: str = orders.ORDER_SLACK,
-                   delay: str = orders.ORDER_DELAY) -> StreamingQuery:
+                   delay: str = orders.ORDER_DELAY, wait: str = WAIT) -> StreamingQuery:
     facts = orders.order_wide_facts(site.read(S.DWD_ORDER_INFO, S.ORDER_INFO),
                                     site.read(S.DWD_ORDER_DETAIL, S.ORDER_DETAIL),
                                     lower, upper, delay)
     return enrich_to_topic(site, facts, S.DWM_ORDER_WIDE, dims, lambda batch, now: (
-        orders.enrich_order(batch, now, as_of, keep=("_fact",))))
+        orders.enrich_order(batch, now, as_of, keep=("_fact",))), wait)
 
 
 def payment_wide_job(site: Site, **options) -> StreamingQuery:

@@ -443,7 +443,7 @@ def change_text(table, xid, data, kind="insert"):
 
 
 def test_dimensions_stay_live(spark, site, tmp_path):
-    """A product that arrives after the order job started is joined by its next batch."""
+    """A product that arrives after its order is joined by the next batch, once."""
     names = {"user_info": {"id": 1, "gender": "F", "birthday": "1990-01-01"},
              "base_province": {"id": 2, "name": "N", "iso_3166_2": "x", "area_code": "1",
                                "iso_code": "c"},
@@ -466,19 +466,72 @@ def test_dimensions_stay_live(spark, site, tmp_path):
         put(site, S.DWD_ORDER_DETAIL, ['{"id":%d,"order_id":%d,"sku_id":%d,"sku_num":1,%s}'
                                        % (day, day, product, at % day)], name)
 
-    def run():
-        jobs.order_wide_job(site, jobs.dims_from_tables(site), delay="400 days").awaitTermination(120)
+    def run(wait="1 day"):
+        jobs.order_wide_job(site, jobs.dims_from_tables(site), delay="400 days",
+                            wait=wait).awaitTermination(120)
         return sorted((r["order_id"], r["sku_name"]) for r in stored(spark, site, S.DWM_ORDER_WIDE))
 
+    def waiting():
+        return sorted(r.sku_id for r in spark.read.parquet(
+            f"{site.tables}/waiting/{S.DWM_ORDER_WIDE}").groupBy("sku_id", "batch_id").count()
+            .where(f"batch_id = {batches() - 1}").collect())
+
+    def batches():
+        return len([x for x in os.listdir(site.checkpoint(f"{S.DWM_ORDER_WIDE}/commits"))
+                    if x.isdigit()])
+
     order("part-0", 1, 10)
     order("part-1", 2, 11)
-    assert run() == [(1, "n")]
-    missing = spark.read.parquet(f"{site.tables}/unmatched/{S.DWM_ORDER_WIDE}")
-    assert [json.loads(r.value)["sku_id"] for r in missing.collect()] == [11]
+    assert run() == [(1, "n")] and waiting() == [11]
+    order("part-2", 3, 12)
+    assert run() == [(1, "n")] and waiting() == [11, 12]
+    # The product comes two batches after its order, which comes out once.
     put(site, S.ODS_DB, [change_text("sku_info", 3, {"id": 11, **sku, "sku_name": "new"})], "part-9")
     jobs.changelog_job(site, config).awaitTermination(120)
-    order("part-2", 3, 11)
-    assert run() == [(1, "n"), (3, "new")]
+    order("part-3", 4, 11)
+    assert run() == [(1, "n"), (2, "new"), (4, "new")] and waiting() == [12]
+    order("part-4", 5, 10)
+    assert run() == [(1, "n"), (2, "new"), (4, "new"), (5, "n")]
+    # What has waited too long is put aside, and waits no more.
+    order("part-5", 6, 10)
+    assert run("1 millisecond") == [(1, "n"), (2, "new"), (4, "new"), (5, "n"), (6, "n")]
+    missing = spark.read.parquet(f"{site.tables}/unmatched/{S.DWM_ORDER_WIDE}")
+    assert [json.loads(r.value)["sku_id"] for r in missing.collect()] == [12]
+    assert waiting() == []
+    kept = os.listdir(f"{site.tables}/waiting/{S.DWM_ORDER_WIDE}")
+    assert len(kept) == 1 and len([x for x in os.listdir(
+        f"{site.tables}/waiting/{S.DWM_ORDER_WIDE}/{kept[0]}")]) == 2
+
+
+def test_bad_changes_stop_no_job(spark, site, tmp_path):
+    """Changes whose data are no object, or name a key twice, go to the rejected topic."""
+    config = str(tmp_path / "config")
+    spark.createDataFrame([("t", "insert", "kafka", S.DWD_CART_INFO, "id", None, None),
+                           ("d", "insert", "hbase", "dim_d", "id", None, None)],
+                          S.CONFIG).write.parquet(config)
+    bad = [change_text(t, 9, data) for t in "td" for data in ("text", [1, 2, 3], 12345)]
+    bad += [change_text("t", 9, {"id": 1}).replace('{"id": 1}', '{"id": 1, "id": 2}')]
+    put(site, S.ODS_DB, [change_text("t", 1, {"id": 7}), *bad, change_text("d", 2, {"id": 8})])
+    for _ in range(2):
+        jobs.changelog_job(site, config).awaitTermination(120)
+    assert stored(spark, site, S.DWD_CART_INFO) == [{"id": 7}]
+    assert rows(read_dim(spark, f"{site.tables}/dims", "dim_d", ["id"])) == [("8",)]
+    jobs.rejects_job(site, S.ODS_DB).awaitTermination(120)
+    assert sorted((r["value"], r["reason"]) for r in stored(spark, site, "ods_db_rejected")) == sorted(
+        (t, "no JSON" if '"id": 2' in t else "no data") for t in bad)
+
+
+def test_bad_displays(spark, site):
+    """A display that is no object has no payload; its record is named among the rejected."""
+    text = ('{"common":{"mid":"1"},"page":{"page_id":"p"},"displays":[{"item":"1"},5,"x",null],'
+            '"ts":1000}')
+    parsed = logs.parse_log(spark.createDataFrame([(text,)], "value string"))
+    shown = logs.routed_payloads(parsed).where(F.col("topic") == S.DWD_DISPLAY).collect()
+    assert [json.loads(r.value)["item"] for r in shown] == ["1"]
+    put(site, S.ODS_LOG, [text, log_text("2", 1)])
+    jobs.rejects_job(site, S.ODS_LOG).awaitTermination(120)
+    assert [(r["value"], r["reason"]) for r in stored(spark, site, "ods_log_rejected")] == [
+        (text, "bad display")]
 
 
 def test_dimension_store(spark, tmp_path):
