@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ SHORTEST = 4        # items with fewer tokens are too common to look for with ot
 MIN_WINDOWS = 3     # windows of an item that must be found, or all it has
 BITMAP_BITS = 23    # the filter takes 2**BITMAP_BITS bits, whatever the benchmark's size
 SLICE_BITS = 16
-CACHE = 1 << 18
+CACHE = 1 << 19
 HITS = 20_000       # most hits held before they are sent on
 
 # Unit words that follow numbers.
@@ -55,18 +56,14 @@ BASE = 0x9E3779B97F4A7C15
 SCHEMA = "form int, pos int, width int, hash long, pattern string, slots array<string>"
 
 
-def classify(token: str) -> tuple[int, str]:
-    """A token's kind, as far as it tells by itself, and its lower-case word."""
-    low = token.casefold()
-    if token in ".!?":
-        return END, token
-    if token[0].isdigit():
-        return NUMBER, token
+def classify(token: str, low: str) -> int:
+    """A token's kind, as far as it tells by itself; `low` is its lower-case word."""
     if low in UNITS:
-        return UNIT, low
-    if len(token) > 1 and token[0].isupper() and token[1:].islower():
-        return CAPITAL, low
-    return LITERAL, low
+        return UNIT
+    first = token[0]
+    if token == low:
+        return END if first in ".!?" else NUMBER if first.isdigit() else LITERAL
+    return CAPITAL if len(token) > 1 and first.isupper() and token[1:].islower() else LITERAL
 
 
 class Chunks(dict):
@@ -85,23 +82,35 @@ class Chunks(dict):
         self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.kind, self.hash = np.zeros(1024, np.int8), np.zeros(1024, np.uint64)
 
-    def __missing__(self, chunk: str) -> int:
-        number = len(self)
-        tokens = TOKEN.findall(chunk)
-        if number == len(self.first):
-            self.first, self.count = np.resize(self.first, 2 * number), np.resize(
-                self.count, 2 * number)
-        while len(self.words) + len(tokens) > len(self.kind):
-            self.kind, self.hash = np.resize(self.kind, 2 * len(self.kind)), np.resize(
-                self.hash, 2 * len(self.hash))
-        self.first[number], self.count[number] = len(self.words), len(tokens)
-        for token in tokens:
-            kind, word = classify(token)
-            self.kind[len(self.words)] = kind
-            self.hash[len(self.words)] = xxhash.xxh64_intdigest(word, 7) | 7
-            self.words.append(token)
-        self[chunk] = number
-        return number
+    def numbers(self, found: list[str]) -> np.ndarray:
+        """The number of each chunk; new ones are learned first, all together."""
+        new = [c for c in set(found) if c not in self]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+
+    def _learn(self, chunks: list[str]) -> None:
+        cut = list(map(TOKEN.findall, chunks))
+        tokens = [t for c in cut for t in c]
+        low = [t.casefold() for t in tokens]
+        digest = xxhash.xxh64_intdigest
+        n, m = len(self), len(self.words)
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        self.count = _put(self.count, n, counts)
+        self.first = _put(self.first, n, m + np.cumsum(counts) - counts)
+        self.kind = _put(self.kind, m, np.fromiter(map(classify, tokens, low), np.int8, len(low)))
+        self.hash = _put(self.hash, m, np.fromiter((digest(w, 7) for w in low), np.uint64,
+                                                   len(low)) | np.uint64(7))
+        self.words += tokens
+        self.update(zip(chunks, range(n, n + len(chunks))))
+
+
+def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """`array` with `values` from `at` on, twice as long where they do not fit."""
+    if at + len(values) > len(array):
+        array = np.resize(array, 2 * (at + len(values)))
+    array[at:at + len(values)] = values
+    return array
 
 
 def template(text: str, chunks: Chunks) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -112,8 +121,7 @@ def template(text: str, chunks: Chunks) -> tuple[np.ndarray, list[np.ndarray]]:
     """
     if len(chunks) > CACHE:
         chunks.reset()
-    found = text.replace("\n", " . ").split()
-    numbers = np.fromiter(map(chunks.__getitem__, found), np.int64, len(found))
+    numbers = chunks.numbers(text.replace("\n", " . ").split())
     count = chunks.count[numbers]
     ends = np.cumsum(count)
     tokens = np.repeat(chunks.first[numbers] - ends + count, count)
@@ -124,22 +132,41 @@ def template(text: str, chunks: Chunks) -> tuple[np.ndarray, list[np.ndarray]]:
     stay = kinds != END
     tokens, kinds, begins = tokens[stay], kinds[stay], before[stay] == END
     capital = kinds == CAPITAL
-    return tokens, [np.where(capital & begins, np.int8(LITERAL), kinds),
-                    np.where(capital, np.int8(LITERAL), kinds), kinds]
+    inside = capital & ~begins
+    none = np.where(capital, np.int8(LITERAL), kinds) if capital.any() else kinds
+    some = (np.where(capital & begins, np.int8(LITERAL), kinds) if inside.any() else none)
+    return tokens, [some, none, kinds]     # equal ones are one array
+
+
+@lru_cache(maxsize=None)     # counts are powers of two
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of BASE and of its inverse, modulo 2**64."""
+    inverse = pow(BASE, -1, 1 << 64)
+    out = np.ones((2, count), np.uint64)
+    for row, base in zip(out, (BASE, inverse)):
+        row[1:] = base
+        np.multiply.accumulate(row, out=row)
+    return out[0], out[1]
 
 
 def windows(hashes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each window, and whether at least half its tokens are literal."""
+    """Hash of each window, and whether at least half its tokens are literal.
+
+    A window's hash is the polynomial of `width` and its tokens' hashes; differences of
+    prefix sums give it for every window at once.
+    """
     n = len(hashes) - width + 1
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    total = np.full(n, width, np.uint64)
-    literal = np.zeros(n, np.int16)
-    for j in range(width):
-        total = total * np.uint64(BASE) + hashes[j:j + n]
-        literal += kinds[j:j + n] == LITERAL
+    power, inverse = _powers(1 << max(10, len(hashes).bit_length()))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * inverse[:len(hashes)], out=sums[1:])
+    total = (sums[width:] - sums[:-width]) * power[width - 1:len(hashes)]
+    total += np.uint64(width * pow(BASE, width, 1 << 64) % (1 << 64))
     total ^= total >> np.uint64(29)
-    return total * np.uint64(BASE), literal * 2 >= width
+    literal = np.zeros(len(kinds) + 1, np.int32)
+    np.cumsum(kinds == LITERAL, out=literal[1:])
+    return total * np.uint64(BASE), (literal[width:] - literal[:-width]) * 2 >= width
 
 
 def slots_of(tokens: list[str], kinds: np.ndarray) -> tuple[str, list[str]]:
@@ -155,12 +182,16 @@ def _found(text: str, widths: Iterable[int], bitmap: np.ndarray | None, chunks:
     without names only, by their values: their pattern is `=` and they have no slots."""
     numbers, forms = template(text, chunks)
     plain = chunks.hash[numbers]
+    made: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}    # forms may be equal
     for form, kinds in zip(FORMS, forms):
-        hashes = np.where(kinds == LITERAL, plain, kinds.astype(np.uint64))
         for width in widths:
             if width < SHORTEST and form != NO_NAMES:
                 continue
-            total, enough = windows(hashes, kinds, width)
+            key = id(kinds), width
+            if key not in made:
+                made[key] = windows(np.where(kinds == LITERAL, plain, kinds.astype(np.uint64)),
+                                    kinds, width)
+            total, enough = made[key]
             by_value = np.zeros(len(total), bool)
             if form == NO_NAMES:
                 by_value = ~enough if width >= SHORTEST else ~by_value
@@ -170,7 +201,7 @@ def _found(text: str, widths: Iterable[int], bitmap: np.ndarray | None, chunks:
             if bitmap is not None:
                 cell = total >> np.uint64(64 - BITMAP_BITS)
                 bit = (cell & np.uint64(7)).astype(np.uint8)
-                enough &= (bitmap[cell >> np.uint64(3)] >> bit) & 1 > 0
+                enough = enough & ((bitmap[cell >> np.uint64(3)] >> bit) & 1 > 0)
             for i in np.flatnonzero(enough):
                 pattern, values = "=", []
                 if not by_value[i]:
