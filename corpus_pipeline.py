@@ -16,7 +16,8 @@ from brookmart.session import shared_dir
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose grade is at least `good but toxic` with probability one half."""
+    """Documents that are at least `good but toxic` with the probability that
+    `quality.select_good` asks for by default.  Toxicity is no reason to go."""
     prepare(spark)
     labels = read(spark, sf_dir, "labels")
     model = quality.train(docs, labels.select("doc_id", quality.grade().alias("grade")))
@@ -30,7 +31,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, by operator 1 and its contract."""
     prepare(spark)
     return simhash.drop_near_duplicates(docs)
 
