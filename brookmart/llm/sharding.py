@@ -77,13 +77,11 @@ def shard(docs: DataFrame, shards: int = 24, run_groups: int = RUN_GROUPS) -> Da
     groups = rows.groupBy("key").agg(F.sum("size").alias("total")).withColumn("class", F.expr(
         f"if({low_bits} <= 0, total, shiftleft(shiftright(total, {low_bits}), {low_bits}))"))
     groups = materialize(groups, "shard-groups")
-    counts = groups.groupBy("class").count().collect()  # bounded: classes share leading bits
-    large = {r["class"]: -(-r["count"] // run_groups) for r in counts if r["count"] > run_groups}
-    part = F.lit(0).cast("long")
-    for size_class, n in large.items():
-        part = F.when(F.col("class") == size_class, F.pmod(F.xxhash64("key"), F.lit(n))
-                      ).otherwise(part)
-    groups = groups.withColumn("part", part)
+    # A line for each class, so that its number of parts is joined and not written into the plan.
+    parts = materialize(groups.groupBy("class").agg(
+        F.ceil(F.count("*") / F.lit(run_groups)).alias("parts")), "shard-classes")
+    groups = groups.join(parts, "class").withColumn(
+        "part", F.pmod(F.xxhash64("key"), F.col("parts"))).drop("parts")
     spark = docs.sparkSession
     lines = [(i, r) for i, r in enumerate(
         groups.groupBy("class", "part").agg(F.count("*").alias("n"), F.sum("total").alias("bytes"))
@@ -110,8 +108,9 @@ def shard(docs: DataFrame, shards: int = 24, run_groups: int = RUN_GROUPS) -> Da
 def _slots(rows: DataFrame, shards: int) -> DataFrame:
     """Number each shard's rows: places inside small buckets plus the buckets' offsets."""
     spark = rows.sparkSession
-    rows = materialize(rows.withColumn("spread", F.xxhash64("doc_id", "text_crc32", "size")),
-                       "shard-dealt")
+    # Copies of a whole row are told apart by where they stand, so they are no hot bucket.
+    rows = materialize(rows.withColumn("spread", F.xxhash64(
+        "doc_id", "text_crc32", "size", F.monotonically_increasing_id())), "shard-dealt")
     buckets = max(8, rows.count() // (SLOT_ROWS * shards))
     rows = rows.withColumn("bucket", F.pmod("spread", F.lit(buckets)))
     offsets = [(r["shard"], r["bucket"], r["count"]) for r in
