@@ -248,9 +248,11 @@ def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             for name, df in parts.items()}
 
 
-def late_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the number of the batch each arrives in, some much too late."""
-    batch = F.floor((F.col("event_id") + F.col("event_id") * 7919 % 2500) / 1000)
-    return events(spark, sf_dir).select("event_id", "at", batch.alias("batch"))
-
-
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the day of the order and the day on which their own record came."""
+    days = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").cast(
+        "timestamp").alias("ordered"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber",
+        F.to_date("l_shipdate").cast("timestamp").alias("arrived"))
+    return lines.join(days, "o_orderkey")

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmart.functions.times import duration_ms
 from brookmart.schemas import DATETIME
-from brookmart.session import materialize
 
 
 def with_event_time(df: DataFrame, at: Column, delay: str, name: str = "et") -> DataFrame:
@@ -43,41 +42,35 @@ def count_once(df: DataFrame, window: Column, keys: Sequence[str], ids: dict[str
         *added, *[F.expr(f"count({c}) as {out}") for out, c in ids.items()])
 
 
-def batch_watermarks(df: DataFrame, batch: str, ts: str, delay: str,
-                     chunk: int = 4096) -> DataFrame:
-    """Watermark in force when each batch arrives: max time of earlier batches - delay.
+def window_end_ms(ts: Column | str, window: str) -> Column:
+    """End of a time's tumbling window as epoch milliseconds; unlike `window` it drops no row
+    without a time."""
+    size = duration_ms(window)
+    at = F.unix_millis(ts)
+    return at - F.pmod(at, F.lit(size)) + size
 
-    The running maximum is taken inside chunks of batches and over the chunk maxima, so
-    the one unpartitioned window sees a row per `chunk` batches.
-    """
-    tops = (df.groupBy(F.col(batch).alias("_batch")).agg(F.max(ts).alias("_top"))
-              .withColumn("_chunk", F.floor(F.col("_batch") / chunk)))
-    ahead = Window.rowsBetween(Window.unboundedPreceding, -1)
-    chunks = (tops.groupBy("_chunk").agg(F.max("_top").alias("_chunk_top"))
-                  .select("_chunk", F.max("_chunk_top").over(ahead.orderBy("_chunk"))
-                                     .alias("_before_chunk")))
-    inside = F.max("_top").over(ahead.partitionBy("_chunk").orderBy("_batch"))
-    return (tops.withColumn("_inside", inside).join(chunks, "_chunk")
-                .select("_batch", (F.greatest("_inside", "_before_chunk")
-                                   - F.expr(f"interval {duration_ms(delay)} milliseconds"))
-                                  .alias("watermark")))
-
-
-def mark_late(df: DataFrame, batch: str, ts: str, window: str, delay: str) -> DataFrame:
-    """Add `is_late`: the row's window had closed before its batch arrived.
-
-    Writes the small table of batch watermarks to the shared folder.
+
+def is_late(ts: Column | str, seen: Column | str, window: str, delay: str = "0 seconds") -> Column:
+    """Whether a row's tumbling window had been closed for `delay` or longer at the time `seen`.
+
+    A row without a time, or where `seen` is null, is not late.
     """
-    marks = materialize(batch_watermarks(df, batch, ts, delay), "watermarks")
-    end = F.window(ts, window).getField("end")
-    late = F.coalesce(end <= F.col("watermark"), F.lit(False))
-    return (df.join(marks, F.col(batch) == F.col("_batch"))
-              .withColumn("is_late", late).drop("_batch", "watermark"))
+    closed = window_end_ms(ts, window) + duration_ms(delay)
+    return F.coalesce(closed <= F.unix_millis(seen), F.lit(False))
 
 
-def split_late(df: DataFrame, batch: str, ts: str, window: str,
+def split_late(df: DataFrame, ts: str, seen: str, window: str,
                delay: str) -> tuple[DataFrame, DataFrame]:
-    """(on time, late)."""
-    marked = mark_late(df, batch, ts, window, delay)
-    return (marked.where(~F.col("is_late")).drop("is_late"),
-            marked.where("is_late").drop("is_late"))
+    """(on time, late) of rows that carry the time `seen` at which they arrived."""
+    marked = df.withColumn("_late", is_late(ts, seen, window, delay))
+    return marked.where("not _late").drop("_late"), marked.where("_late").drop("_late")
+
+
+def lateness(df: DataFrame, ts: str, seen: str, window: str, delay: str) -> DataFrame:
+    """Rows on time and late of each window, and how long after its end the last one came."""
+    behind = F.unix_millis(seen) - window_end_ms(ts, window)
+    marked = df.select(tumble(ts, window), is_late(ts, seen, window, delay).alias("late"),
+                       behind.alias("behind"))
+    return marked.groupBy("window").agg(
+        F.count_if(~F.col("late")).alias("on_time_ct"), F.count_if("late").alias("late_ct"),
+        F.greatest(F.max("behind"), F.lit(0)).alias("last_behind_ms"))

@@ -461,15 +461,16 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
                strftime(h + interval 1 hour, '%Y-%m-%d %H:%M:%S') as edt, count(*) as n
         from (select date_trunc('hour', moment) as h from ev) group by h"""),
     "late_rows_split": ((), """
-        , b as (select event_id, ts, (event_id + event_id * 7919 % 2500) // 1000 as batch
-                from events),
-        m as (select batch, max(max(ts)) over (order by batch rows between unbounded preceding
-                                               and 1 preceding) as seen
-              from b group by batch)
-        select event_id, batch,
-               coalesce(date_trunc('hour', ts) + interval 1 hour <= seen - interval 2 day,
-                        false) as is_late
-        from b join m using (batch)"""),
+        , d as (select cast(l_shipdate as date) as arrived, date '1970-01-01'
+                       + cast(7 * ((cast(o_orderdate as date) - date '1970-01-01') // 7 + 1) as int)
+                       as edt
+                from lineitem join orders on l_orderkey = o_orderkey)
+        select strftime(edt - 7, '%Y-%m-%d %H:%M:%S') as stt,
+               strftime(edt, '%Y-%m-%d %H:%M:%S') as edt,
+               count(*) filter (arrived - edt < 14) as on_time_ct,
+               count(*) filter (arrived - edt >= 14) as late_ct,
+               greatest(max(arrived - edt), 0) * 86400000 as last_behind_ms
+        from d group by edt"""),
     "latest_version_per_key": (("ev",), """
         select event_type, k as keyword, event_id as version, value, ts from ev
         qualify row_number() over (partition by event_type, k

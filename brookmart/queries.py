@@ -28,7 +28,8 @@ HOUR = "1 hour"
 ONE_DAY = "1 day"
 GAP = "6 hours"
 ORDER_SLACK = "30 days"
-LATE_DELAY = "2 days"
+LATE_DELAY = "14 days"
+WEEK = "7 days"
 AS_OF = date(2024, 1, 31)
 STAT_TS = 1_706_659_200_000
 SALES_DAY = 20000611
@@ -536,8 +537,8 @@ def tumbling_window_counts(spark, sf):
 
 @query
 def late_rows_split(spark, sf):
-    return windows.mark_late(A.late_batches(spark, sf), "batch", "at", HOUR,
-                             LATE_DELAY).select("event_id", "batch", "is_late")
+    counts = windows.lateness(A.deliveries(spark, sf), "ordered", "arrived", WEEK, LATE_DELAY)
+    return windows.window_bounds(counts).drop("window")
 
 
 @query

@@ -22,6 +22,7 @@ DWM_UJ = "dwm_uj"
 DWM_ORDER_WIDE = "dwm_order_wide"
 DWM_PAYMENT_WIDE = "dwm_payment_wide"
 DWS_PRODUCT_STATS = "dws_product_stats"
+DWS_VISITORS = "dws_visitors"
 
 # Where a configured table goes.
 SINK_TOPIC = "kafka"

@@ -17,11 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brookmart import schemas as S
 from brookmart.functions.records import is_object, parse_typed, pick, to_payload
-from brookmart.functions.times import duration_ms
+from brookmart.functions.times import duration_ms, event_time
 from brookmart.operators import changelog as C
 from brookmart.operators import logs as L
 from brookmart.operators import metrics as M
 from brookmart.operators.enrich import DIM_COLUMNS, enrich_product
+from brookmart.operators.windows import is_late
 from brookmart.plans import orders, stats
 from brookmart.sinks.tables import (remove_folder, store_config, upsert_dim, write_batch,
                                     write_stats, write_waiting)
@@ -41,7 +42,9 @@ SHARED = {S.DWD_START: LOG_JOB, S.DWD_PAGE: LOG_JOB, S.DWD_DISPLAY: LOG_JOB,
           S.DWD_CART_INFO: CHANGE_JOB, S.DWD_REFUND_PAYMENT: CHANGE_JOB,
           S.DWD_COMMENT_INFO: CHANGE_JOB,
           S.DWM_ORDER_WIDE: f"{S.DWM_ORDER_WIDE}_job",
-          S.DWS_PRODUCT_STATS: f"{S.DWS_PRODUCT_STATS}_job"}
+          S.DWS_PRODUCT_STATS: f"{S.DWS_PRODUCT_STATS}_job",
+          f"{S.DWS_VISITORS}_timely": f"{S.DWS_VISITORS}_job",
+          f"{S.DWS_VISITORS}_late": f"{S.DWS_VISITORS}_job"}
 
 
 @dataclass(frozen=True)
@@ -261,10 +264,63 @@ def payment_wide_job(site: Site, **options) -> StreamingQuery:
     return site.to_topic(paid, S.DWM_PAYMENT_WIDE)
 
 
-def visitor_stats_job(site: Site, **options) -> StreamingQuery:
-    rows = M.visitor_metrics(_flat_pages(site, S.DWD_PAGE), _flat_pages(site, S.DWM_UV),
+def visitor_rows(site: Site) -> DataFrame:
+    return M.visitor_metrics(_flat_pages(site, S.DWD_PAGE), _flat_pages(site, S.DWM_UV),
                              _flat_pages(site, S.DWM_UJ))
-    return site.to_table(stats.visitor_stats(rows, **options), "visitor_stats")
+
+
+def visitor_stats_job(site: Site, **options) -> StreamingQuery:
+    return site.to_table(stats.visitor_stats(visitor_rows(site), **options), "visitor_stats")
+
+
+def split_late_job(site: Site, rows: DataFrame, name: str, window: str, delay: str,
+                   ts: str = "ts") -> StreamingQuery:
+    """Rows whose window the watermark has passed to `<name>_late`, others to `<name>_timely`.
+
+    The watermark of a micro-batch is the largest event time of the batches before it less
+    `delay`, and never goes back.  Each batch stores the one it leaves to the next, so a
+    repeated batch, or one after a restart, splits its rows the same way.
+
+    A windowed query over the timely topic with the same window and delay drops none of them:
+    what it reads at once are whole batches of this job, so its own watermark is behind the one
+    under which they were passed.
+    """
+    topics, marks = f"{name}_job", f"{site.tables}/watermarks/{name}"
+    create_topic(site.spark, f"{name}_timely", topics, site.topics)
+    create_topic(site.spark, f"{name}_late", topics, site.topics)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"{marks}/run={run_id(spark)}"
+        before = read_waiting(spark, f"{own}/batch_id={batch_id - 1}", MARK)
+        passed = before.agg(F.max("mark")).first()[0]      # the table holds one number
+        batch = batch.persist()
+        try:
+            late = is_late(event_time(ts), F.timestamp_millis(F.lit(passed).cast("long")), window)
+            topic = F.when(late, f"{name}_late").otherwise(f"{name}_timely")
+            write_batch_by_topic(batch.select(
+                topic.alias("topic"), F.to_json(F.struct(*batch.columns)).alias("value")),
+                batch_id, topics, site.topics)
+            top = batch.agg((F.max(ts) - duration_ms(delay)).cast("long").alias("mark"))
+            write_waiting(before.union(top).agg(F.max("mark").alias("mark")).coalesce(1),
+                          f"{own}/batch_id={batch_id}")
+            remove_folder(spark, f"{own}/batch_id={batch_id - 2}")
+        finally:
+            batch.unpersist()
+
+    return start(rows.writeStream.foreachBatch(split), site.checkpoint(f"{name}_split"),
+                 site.trigger, f"{name}_split")
+
+
+def visitor_stats_with_late_job(site: Site, window: str = stats.WINDOW,
+                                delay: str = stats.VISITOR_DELAY,
+                                stat_ts: Column | None = None) -> list[StreamingQuery]:
+    """`visitor_stats_job` that writes the metric rows it leaves out to `dws_visitors_late`."""
+    rows = visitor_rows(site)
+    split = split_late_job(site, rows, S.DWS_VISITORS, window, delay)     # makes the topics
+    timely = site.read(f"{S.DWS_VISITORS}_timely", rows.schema)
+    return [split,
+            site.to_table(stats.visitor_stats(timely, window, stat_ts, delay), "visitor_stats")]
 
 
 def product_metrics(site: Site) -> DataFrame:
@@ -292,6 +348,8 @@ def province_stats_job(site: Site, **options) -> StreamingQuery:
     return site.to_table(stats.province_stats(wide, **options), "province_stats")
 
 
+MARK = "mark long"
+
 PAGE_MAP = T.StructType([
     T.StructField("page", T.MapType(T.StringType(), T.StringType())),
     T.StructField("ts", T.LongType())])

@@ -251,25 +251,16 @@ def test_unpivot_and_words(spark):
 
 def test_late(spark):
     base = datetime(2024, 1, 1)
+    hours = [(0, 0, 0), (1, 0, 1), (2, 0, 2), (3, 1, 2), (4, 1, 5)]    # id, sent, arrived
     df = spark.createDataFrame(
-        [(0, base), (1, base + timedelta(hours=5)), (2, base), (2, base + timedelta(hours=5)),
-         (5, base + timedelta(hours=1))], "batch bigint, at timestamp")
-    on_time, late = windows.split_late(df, "batch", "at", "1 hour", "1 hour")
-    assert rows(late, "batch") == [(2,), (5,)]
-    assert on_time.count() == 3
-
-
-def test_batch_watermarks_across_chunks(spark):
-    rng = random.Random(5)
-    base = datetime(2024, 1, 1)
-    data = [(b, base + timedelta(minutes=rng.randrange(10_000))) for b in range(60)
-            for _ in range(3) if b % 7]
-    df = spark.createDataFrame(data, "batch bigint, at timestamp")
-    got = {r._batch: r.watermark for r in
-           windows.batch_watermarks(df, "batch", "at", "1 hour", chunk=4).collect()}
-    for batch in {b for b, _ in data}:
-        seen = [t for b, t in data if b < batch]
-        assert got[batch] == (max(seen) - timedelta(hours=1) if seen else None)
+        [(i, base + timedelta(hours=a), base + timedelta(hours=b)) for i, a, b in hours]
+        + [(5, base, None), (6, None, base)], "id int, sent timestamp, arrived timestamp")
+    on_time, late = windows.split_late(df, "sent", "arrived", "1 hour", "1 hour")
+    assert rows(late, "id") == [(2,), (4,)]
+    assert rows(on_time, "id") == [(0,), (1,), (3,), (5,), (6,)]
+    found = windows.lateness(df.where("sent is not null"), "sent", "arrived", "1 hour", "1 hour")
+    assert rows(found, "on_time_ct", "late_ct", "last_behind_ms") == [
+        (1, 1, 3 * 3_600_000), (3, 1, 3_600_000)]
 
 
 def test_distinct_orders(spark):
