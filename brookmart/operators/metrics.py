@@ -21,6 +21,8 @@ PRODUCT_COUNTS = ("display_ct", "click_ct", "favor_ct", "cart_ct", "order_sku_nu
 PRODUCT_AMOUNTS = ("order_amount", "payment_amount", "refund_amount")
 PRODUCT_IDS = {"order_ct": "order_id", "paid_order_ct": "paid_order_id",
                "refund_order_ct": "refund_order_id"}
+# Whether a kind of product row may carry an id.
+CARRIES_ID = "carries_id"
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -55,13 +57,14 @@ def _millis(text_time: str) -> str:
 
 def _product_row(df: DataFrame, ts: str, sku: str = "sku_id", **values: str) -> DataFrame:
     """Metric rows from SQL expressions; what is not given is zero, or null for ids."""
+    carries = any(c in values for c in PRODUCT_IDS.values())
     return df.selectExpr(
         f"try_cast({sku} as bigint) as sku_id",
         *[f"cast({values.get(c, '0')} as bigint) as {c}" for c in PRODUCT_COUNTS],
         *[f"cast({values.get(c, '0')} as {MONEY.simpleString()}) as {c}"
           for c in PRODUCT_AMOUNTS],
         *[f"cast({values.get(c, 'null')} as bigint) as {c}" for c in PRODUCT_IDS.values()],
-        f"{ts} as ts")
+        f"{ts} as ts", f"{str(carries).lower()} as {CARRIES_ID}")
 
 
 def clicks(pages: DataFrame) -> DataFrame:
@@ -74,6 +77,27 @@ def displays(shown: DataFrame) -> DataFrame:
     return _product_row(shown.where("item_type = 'sku_id'"), "ts", "item", display_ct="1")
 
 
+# What `seen` reads of log records.
+SEEN_FIELDS = ("start", "page.item", "page.item_type", "displays", "ts")
+
+
+def seen(logs: DataFrame) -> DataFrame:
+    """`clicks` and `displays` of log records in one pass, so that a text is parsed once.
+
+    A page's item and item type replace those of its displays.
+    """
+    def row(click: int, item: str, kind: str) -> str:
+        return (f"named_struct('click', {click}, 'display', {1 - click}, 'item', {item},"
+                f" 'item_type', {kind})")
+
+    shown = row(0, "coalesce(page.item, d.item)", "coalesce(page.item_type, d.item_type)")
+    rows = logs.where("start is null").selectExpr("ts", f"""inline(concat(
+        if(page is null, array(), array({row(1, "page.item", "page.item_type")})),
+        if(displays is null, array(), transform(displays, d -> {shown}))))""")
+    return _product_row(rows.where("item_type = 'sku_id'"), "ts", "item",
+                        click_ct="click", display_ct="display")
+
+
 def favors(df: DataFrame) -> DataFrame:
     return _product_row(df, _millis("create_time"), favor_ct="1")
 

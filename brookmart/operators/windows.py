@@ -27,18 +27,30 @@ def window_bounds(df: DataFrame, fmt: str = DATETIME, window: str = "window") ->
 
 
 def count_once(df: DataFrame, window: Column, keys: Sequence[str], ids: dict[str, str],
-               sums: Sequence[str]) -> DataFrame:
+               sums: Sequence[str], carries: str | None = None) -> DataFrame:
     """Sums and exact distinct counts per window and keys, for batch and stream.
 
     `ids` maps output names to id columns; a row carries at most one id.  The first
     aggregation brings all rows of one id together, the second counts what is left.  No
     set of ids is ever held for a group, and a hot key is spread by its ids.  Rows without
     an id are one group of the first aggregation, added up before its shuffle.
+
+    `carries` names a boolean column that is false for rows known to have no id.  In a batch
+    these go to the second aggregation at once; it should be a literal in each part of a
+    union, so that no part is read twice.
     """
     added = [F.expr(f"sum({c}) as {c}") for c in sums]
     grouping = ["window", *keys, *ids.values()]
-    by_id = df.select(window, *keys, *ids.values(), *sums).groupBy(*grouping).agg(*added)
-    return by_id.groupBy("window", *keys).agg(
+
+    def by_id(part: DataFrame) -> DataFrame:
+        return part.select(window, *keys, *ids.values(), *sums).groupBy(*grouping).agg(*added)
+
+    if carries and not df.isStreaming:
+        rest = df.where(f"not {carries}").select(window, *keys, *ids.values(), *sums)
+        rows = by_id(df.where(carries)).unionByName(rest)
+    else:
+        rows = by_id(df)
+    return rows.groupBy("window", *keys).agg(
         *added, *[F.expr(f"count({c}) as {out}") for out, c in ids.items()])
 
 

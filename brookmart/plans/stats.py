@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from brookmart.functions.keywords import any_positive, explode_words, positive_counters
 from brookmart.functions.times import event_time, now_millis, text_to_time, utc_to_zone
-from brookmart.operators.metrics import (PRODUCT_AMOUNTS, PRODUCT_COUNTS, PRODUCT_IDS,
-                                         VISITOR_KEYS, VISITOR_SUMS)
+from brookmart.operators.metrics import (CARRIES_ID, PRODUCT_AMOUNTS, PRODUCT_COUNTS,
+                                         PRODUCT_IDS, VISITOR_KEYS, VISITOR_SUMS)
 from brookmart.operators.windows import count_once, tumble, window_bounds, with_event_time
 from brookmart.schemas import MONEY
 
@@ -46,7 +46,8 @@ def product_stats(metrics: DataFrame, window: str = WINDOW, stat_ts: Column | No
     """
     timed = with_event_time(metrics, event_time("ts"), delay)
     sums = count_once(timed, tumble("et", window), ["sku_id"], PRODUCT_IDS,
-                      [*PRODUCT_COUNTS, *PRODUCT_AMOUNTS])
+                      [*PRODUCT_COUNTS, *PRODUCT_AMOUNTS],
+                      CARRIES_ID if CARRIES_ID in metrics.columns else None)
     money = [F.col(c).cast(MONEY).alias(c) for c in PRODUCT_AMOUNTS]
     return window_bounds(sums).select(
         F.col("window").alias("window", metadata={"sink": False}), "stt", "edt", "sku_id",

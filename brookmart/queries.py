@@ -106,15 +106,13 @@ def _routed(spark, sf):
 
 def _product_metrics(spark, sf, span=None):
     """Metric rows of all kinds; with a span only those in it, of sources read as far."""
-    split = logs.split_log(_logs(spark, sf, span=span))
     # A payment is made up to an hour after its order, and joins orders around it.
     hour = timedelta(hours=1)
     around = _wider(span, hour, hour)
     wide = materialize(_order_facts(spark, sf, around), "dwm_order_wide")
     paid = orders.payment_wide(A.payment_info(spark, sf, around), wide)
     rows = metrics.union_all([
-        metrics.clicks(logs.page_views(split["page"])),
-        metrics.displays(logs.explode_displays(split["display"])),
+        metrics.seen(_logs(spark, sf, *metrics.SEEN_FIELDS, span=span)),
         metrics.favors(A.favor_info(spark, sf, span)),
         metrics.carts(A.cart_info(spark, sf, span)),
         metrics.orders_m(wide),
@@ -419,7 +417,7 @@ def product_comments(spark, sf):
 
 @query
 def product_metric_union(spark, sf):
-    return _product_metrics(spark, sf)
+    return _product_metrics(spark, sf).drop(metrics.CARRIES_ID)
 
 
 @query
