@@ -16,14 +16,15 @@ PAGE = ("page_id", "last_page_id", "item", "item_type", "during_time")
 
 
 def parse_log(df: DataFrame, value: str = "value",
-              fields: Sequence[str] | None = None) -> DataFrame:
+              fields: Sequence[str] | None = None, raw: bool | None = None) -> DataFrame:
     """Typed columns of log records, and the whole text as `raw`.
 
-    With `fields` ('common.mid', 'ts', ...) only these are parsed and the text is dropped.
+    With `fields` ('common.mid', 'ts', ...) only these are parsed and the text is dropped,
+    unless `raw` asks for it.
     """
-    if fields is not None:
-        return parse_typed(df, pick(LOG, fields), value)
-    return parse_typed(df.withColumn("raw", F.col(value)), LOG, value)
+    if raw or (raw is None and fields is None):
+        df = df.withColumn("raw", F.col(value))
+    return parse_typed(df, LOG if fields is None else pick(LOG, fields), value)
 
 
 def split_log(logs: DataFrame) -> dict[str, DataFrame]:
@@ -89,13 +90,20 @@ def _object(variant: str) -> str:
     return f"coalesce(try_cast({variant} as map<string, variant>), {_ANY})"
 
 
-def _merge(*sources: str) -> str:
-    """One map of several; of equal names the last one counts."""
-    merged = sources[0]
-    for later in sources[1:]:
-        merged = (f"map_concat(map_filter({merged}, (k, v) -> not map_contains_key({later}, k)), "
-                  f"{later})")
-    return merged
+# What `routed_payloads` reads of log records besides `raw`.
+ROUTED_FIELDS = ("common.is_new", "start", "page")
+
+
+def _merge(first: str, later: str, names: str) -> str:
+    """One map of two; of equal names the later one counts.  `names` are those of `later`,
+    written so that a field's test does not make the map anew."""
+    return (f"map_concat(map_filter({first}, (k, v) -> not array_contains({names}, k)), "
+            f"{later})")
+
+
+def _inside(json: str) -> str:
+    """What stands between the braces of an object's text; null if nothing does."""
+    return f"nullif(substring({json}, 2, length({json}) - 2), '')"
 
 
 def routed_payloads(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -106,23 +114,36 @@ def routed_payloads(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     common, page and the time merged in, later ones winning.  Displays that are no objects
     have none.
     """
-    fixed = "map('is_new', cast(common.is_new as variant))"
+    is_new = "map('is_new', cast(common.is_new as variant))"
     rows = (logs.withColumn("_all", F.expr(_object("try_parse_json(raw)")))
+                .withColumn("_sent", F.expr(_object("_all['common']")))
                 .withColumn("_common", F.expr(
-                    f"if(common.is_new is null, {_object("_all['common']")}, "
-                    f"{_merge(_object("_all['common']"), fixed)})"))
+                    f"if(common.is_new is null, _sent, "
+                    f"{_merge('_sent', is_new, "array('is_new')")})"))
                 .withColumn("_page", F.expr(_object("_all['page']")))
                 .withColumn("_shown", F.expr(
-                    "try_cast(_all['displays'] as array<map<string, variant>>)")))
-    whole = f"to_json({_merge('_all', "map('common', to_variant_object(_common))")})"
-    flat = _merge("d", "_common", "_page", "map('ts', _all['ts'])")
+                    "if(start is null,"
+                    " try_cast(_all['displays'] as array<map<string, variant>>), null)"))
+                # What all displays of a record take over is merged and written once.
+                .withColumn("_over", F.expr(f"if(_shown is null, {_ANY}, " + _merge(
+                    _merge("_common", "_page", "map_keys(_page)"), "map('ts', _all['ts'])",
+                    "array('ts')") + ")"))
+                .withColumn("_names", F.expr("map_keys(_over)"))
+                .withColumn("_over", F.expr("to_json(_over)"))
+                .withColumn("_over", F.expr(_inside("_over"))))
+    # A step of its own for what is used twice: inside a lambda each use would make it anew.
+    own = ("transform(filter(_shown, d -> d is not null), d -> to_json("
+           "map_filter(d, (k, v) -> not array_contains(_names, k))))")
+    shown = f"concat('{{', concat_ws(',', {_inside('own')}, _over), '}}')"
+    whole = _merge("_all", "map('common', to_variant_object(_common))", "array('common')")
     payloads = F.expr(f"""
         concat(
-            case when start is not null then array(struct('{DWD_START}' as topic, {whole} as value))
-                 when page is not null then array(struct('{DWD_PAGE}' as topic, {whole} as value))
-                 else array() end,
-            if(start is null and _shown is not null,
-               transform(filter(_shown, d -> d is not null), d -> struct('{DWD_DISPLAY}' as topic, to_json({flat}) as value)),
+            if(start is not null or page is not null,
+               array(struct(if(start is null, '{DWD_PAGE}', '{DWD_START}') as topic,
+                            to_json({whole}) as value)),
+               array()),
+            if(_shown is not null,
+               transform({own}, own -> struct('{DWD_DISPLAY}' as topic, {shown} as value)),
                array()))""")
     return rows.select(*keep, F.inline(payloads))
 

@@ -166,7 +166,8 @@ def log_parse_fields(spark, sf):
 
 @query
 def log_split_counts(spark, sf):
-    return (logs.routed_payloads(_logs(spark, sf))
+    records = logs.parse_log(A.log_topic(spark, sf), fields=logs.ROUTED_FIELDS, raw=True)
+    return (logs.routed_payloads(records)
             .groupBy(F.expr("replace(topic, 'dwd_', '')").alias("kind"))
             .agg(F.count("*").alias("records")))
 

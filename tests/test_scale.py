@@ -1,5 +1,7 @@
 """Work that must not be done twice: payloads, log texts and aggregations."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from brookmart import schemas as S
@@ -8,6 +10,42 @@ from brookmart.plans import stats
 from brookmart.queries import QUERIES
 from brookmart.sources.topics import from_elements
 
+RECORDS = [
+    '{"common":{"mid":"1","uid":7},"page":{"page_id":"p","item":"9"},"displays":'
+    '[{"item":"5","x":"{"},null,{}],"ts":1,"err":{"code":2}}',
+    '{"displays":[{"item":"1","mid":"m","ts":5},{}]}',
+    '{"common":{"is_new":"0"},"page":{"mid":"of page"},"displays":[{"mid":"m"}],"ts":2}',
+    '{"common":{"mid":"3"},"start":{"entry":"icon"},"displays":[{"item":"1"}],"ts":3}',
+    'no JSON',
+]
+
+
+def test_payloads_keep_every_field(spark):
+    routed = logs.routed_payloads(logs.parse_log(from_elements(spark, RECORDS)))
+    plan = routed._jdf.queryExecution().optimizedPlan().toString()
+    # No map is made anew for each field that is tested against it.
+    assert "array_contains(map_keys(map(" not in plan
+    found = sorted((r.topic, json.dumps(json.loads(r.value), sort_keys=True))
+                   for r in routed.collect())
+    over = {"mid": "1", "uid": 7, "page_id": "p", "item": "9", "ts": 1}
+    page = json.loads(RECORDS[0])
+    wanted = [(S.DWD_PAGE, page), (S.DWD_DISPLAY, over | {"x": "{"}), (S.DWD_DISPLAY, over),
+              (S.DWD_DISPLAY, {"item": "1", "mid": "m", "ts": None}), (S.DWD_DISPLAY, {"ts": None}),
+              (S.DWD_PAGE, json.loads(RECORDS[2])),
+              (S.DWD_DISPLAY, {"is_new": "0", "mid": "of page", "ts": 2}),
+              (S.DWD_START, json.loads(RECORDS[3]))]
+    assert found == sorted((t, json.dumps(v, sort_keys=True)) for t, v in wanted)
+
+
+def test_routing_parses_what_it_needs(spark, sf_dir):
+    plan = QUERIES["log_split_counts"](spark, sf_dir)._jdf.queryExecution().optimizedPlan()
+    # Once where the test records are made, not again where they are routed.
+    assert plan.toString().count("StructField(displays,") == 1
+    source = from_elements(spark, RECORDS)
+    some = logs.parse_log(source, fields=logs.ROUTED_FIELDS, raw=True)
+    assert sorted(logs.routed_payloads(some).collect()) == sorted(
+        logs.routed_payloads(logs.parse_log(source)).collect())
+
 
 def test_seen_is_clicks_and_displays(spark):
     texts = [
